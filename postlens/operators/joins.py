@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Most pieces a hot key is cut into.
+MOST_PIECES = 1_024
+
 
 def join_places(posts: DataFrame, places: DataFrame, key: str = "ind") -> DataFrame:
     """Inner equi-join, one copy of the key. AQE splits a hot key, both sides being plain shuffles."""
@@ -30,22 +33,19 @@ def tally(df: DataFrame, *keys: str, name: str) -> DataFrame:
 
 
 def spread_join(
-    many: DataFrame, few: DataFrame, key: str, share: float = 0.001, least_rows: int = 1_000_000
+    many: DataFrame, few: DataFrame, key: str, hot_keys: int = 1_000, least_rows: int = 1_000_000
 ) -> DataFrame:
     """Inner equi-join on ``key`` where single keys may hold a large part of ``many``.
 
-    A key with more than ``share`` of all rows of ``many`` (and more than ``least_rows``) is cut into pieces of about
-    that size by a hash of the row, and the rows of ``few`` with this key are repeated once per piece. Fewer than
-    1/share keys can be that hot, which bounds what is broadcast whatever the data. Rows of ``many`` must be distinct,
-    or copies of one row share a piece.
+    The ``hot_keys`` keys with most rows in ``many``, if above ``least_rows``, are cut into pieces of about that size by a
+    hash of the row, and the rows of ``few`` with such a key are repeated once per piece. Any other key holds less than
+    1/hot_keys of the rows and is joined as it is. Rows of ``many`` must be distinct, or copies share a piece.
     """
     sizes = many.groupBy(key).agg(F.count("*").alias("_rows"))
-    all_rows = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_all")).scalar()
-    piece_rows = F.greatest(all_rows * share, F.lit(float(least_rows)))
-    hot = sizes.where(F.col("_rows") > piece_rows).select(
-        key, F.ceil(F.col("_rows") / piece_rows).cast("int").alias("_pieces")
+    most = sizes.where(F.col("_rows") > least_rows).orderBy(F.desc("_rows"), key).limit(hot_keys)
+    hot = F.broadcast(  # at most hot_keys rows
+        most.select(key, F.least(F.ceil(F.col("_rows") / least_rows), F.lit(MOST_PIECES)).cast("int").alias("_pieces"))
     )
-    hot = F.broadcast(hot)  # fewer than 1/share rows
     pieces = F.coalesce("_pieces", F.lit(1))
 
     cut = many.join(hot, key, "left").withColumn("_piece", F.pmod(F.xxhash64(*many.columns), pieces).cast("int"))

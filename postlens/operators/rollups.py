@@ -10,7 +10,7 @@ from pyspark.sql.types import ByteType, IntegerType, ShortType
 
 from postlens.operators.joins import null_safe
 
-# Parts one pass of ``exact_median_by`` splits an interval into; also the most rows it ranks per group in one task.
+# Parts a value range is split into by ``exact_median_by``.
 PARTS = 65_536
 
 
@@ -54,47 +54,43 @@ def exact_median_by(
     """Lower median of a numeric ``value`` per group, each row counted ``weight`` times (a positive whole number).
 
     NULL values are passed over; a group with nothing else gives NULL. No group is gathered in one task: distinct values
-    are counted first, then the interval known to hold the median is split into ``PARTS`` equal parts, the part holding
-    it becomes the new interval, and only the values left in the last one are ranked: one pass leaves at most ``PARTS``
-    distinct 32-bit integers, wider types take two. ``few_groups`` says that the number of groups is
-    bounded by the meaning of the keys (a band, a year), which allows broadcasting one row per group.
+    are counted, the counts are summed over coarse parts of the value range, and only the values in the part that holds
+    the median are ranked. For 32-bit integers that leaves at most ``PARTS`` values per group; for wider types the part
+    is first split once more, into ``PARTS`` equal parts. ``few_groups`` says that the number of groups is bounded by the
+    meaning of the keys (a band, a year), which allows broadcasting one row per group.
     """
     keys = list(keys)
-    # Wide enough for the product of three row counts.
-    one = F.lit(1) if weight is None else F.col(weight)
-    counted = df.groupBy(*keys, F.col(value).alias("_value")).agg(
-        F.sum(F.when(F.col(value).isNotNull(), one).otherwise(0).cast("decimal(38,0)")).alias("_count")
-    )
-    state = counted.groupBy(*keys).agg(
-        F.min("_value").alias("_low"),
-        F.max("_value").alias("_high"),
-        F.ceil(F.sum("_count") / 2).cast("decimal(38,0)").alias("_nth"),
-    )
-    fits_one_pass = isinstance(df.schema[value].dataType, (ByteType, ShortType, IntegerType))
-    for _ in range(1 if fits_one_pass else 2):
-        parts = (
-            _inside(counted, state, keys, few_groups)
-            .groupBy(*keys, _part().alias("_part"))
-            .agg(
-                F.sum("_count").alias("_count"),
-                F.min("_value").alias("_low"),
-                F.max("_value").alias("_high"),
-                F.first("_nth").alias("_nth"),
-            )
-        )
-        picked = _holding_nth(parts, keys, "_part")
-        state = picked.select(*keys, "_low", "_high", (F.col("_nth") - F.col("_before")).alias("_nth"))
+    if weight is None:
+        count = F.count(value)
+    else:  # wide enough for the product of three row counts
+        count = F.sum(F.when(F.col(value).isNotNull(), F.col(weight)).otherwise(0).cast("decimal(38,0)"))
+    counted = df.groupBy(*keys, F.col(value).alias("_value")).agg(count.alias("_count"))
+
+    is_small = isinstance(df.schema[value].dataType, (ByteType, ShortType, IntegerType))
+    part = _upper_bits(F.col("_value")) if is_small else _magnitude(F.col("_value"))
+    sums = counted.groupBy(*keys, part.alias("_part")).agg(*_summary())
+    rows = F.sum("_count").over(Window.partitionBy(*keys)).cast("decimal(38,0)")
+    state = _holding_nth(sums.withColumn("_nth", F.ceil(rows / 2)), keys, "_part")
+    if not is_small:
+        live = _inside(counted, state, keys, few_groups)
+        sums = live.groupBy(*keys, _equal_part().alias("_part")).agg(*_summary(), F.max("_nth").alias("_nth"))
+        state = _holding_nth(sums, keys, "_part")
     last = _holding_nth(_inside(counted, state, keys, few_groups), keys, "_value")
     return last.select(*keys, F.col("_value").alias(name))
 
 
+def _summary() -> tuple[Column, ...]:
+    return F.sum("_count").alias("_count"), F.min("_value").alias("_low"), F.max("_value").alias("_high")
+
+
 def _inside(counted: DataFrame, state: DataFrame, keys: list[str], few_groups: bool) -> DataFrame:
     """Counted values within their group's interval; the one NULL row of a group without values stays.
 
     The condition is wrapped so that Catalyst infers no not-NULL filter for one side: all uses of ``counted`` then have
     the same plan, and its shuffle runs once.
     """
-    renamed = state.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_low", "_high", "_nth")
+    nth = (F.col("_nth") - F.col("_before")).alias("_nth")
+    renamed = state.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_low", "_high", nth)
     if few_groups:
         renamed = F.broadcast(renamed)  # one row per band or year
     same_group = null_safe([(F.col(k), F.col(f"_key_{k}")) for k in keys])
@@ -102,24 +98,36 @@ def _inside(counted: DataFrame, state: DataFrame, keys: list[str], few_groups: b
     return counted.join(renamed, same_group & within).select(*keys, "_value", "_count", "_low", "_high", "_nth")
 
 
-def _part() -> Column:
-    """Which of the equal parts between ``_low`` and ``_high`` a value lies in. Never falls as the value rises."""
-    value, low, high = (F.col(c).cast("double") / 2 for c in ("_value", "_low", "_high"))  # halves: no overflow
-    share = F.nanvl(F.try_divide(value - low, high - low), F.lit(0.0))
-    part = F.coalesce(F.floor(share * (PARTS - 1)).cast("int"), F.lit(0))
-    infinity = F.lit(float("inf"))
+# The three parts of a value range. None falls as the value rises, which is all that is asked of them.
+
+
+def _upper_bits(value: Column) -> Column:
+    """The upper half of a 32-bit integer."""
+    return F.shiftright(value.cast("int"), 16)
+
+
+def _magnitude(value: Column) -> Column:
+    """Logarithmic steps of about 1.6 % to both sides of zero; infinities and NaN at their ends."""
+    wide = value.cast("double")
+    steps = F.signum(wide) * F.floor(F.log1p(F.abs(wide)) * 64)
     return (
-        F.when(value.isNull(), None)
-        .when(F.isnan(value), PARTS + 1)
-        .when(value == infinity, PARTS)
-        .when(value == -infinity, -1)
-        .otherwise(part)
+        F.when(F.isnan(wide), PARTS + 1)
+        .when(wide == float("inf"), PARTS)
+        .when(wide == float("-inf"), -PARTS)
+        .otherwise(steps.cast("int"))
     )
 
 
+def _equal_part() -> Column:
+    """One of ``PARTS`` equal steps from ``_low`` to ``_high``. One step where the two are equal or not finite."""
+    value, low, high = (F.col(c).cast("double") / 2 for c in ("_value", "_low", "_high"))  # halves: no overflow
+    share = F.nanvl(F.try_divide(value - low, high - low), F.lit(0.0))
+    return F.coalesce(F.floor(share * (PARTS - 1)).cast("int"), F.lit(0))
+
+
 def _holding_nth(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Per group the row, by ``order``, in which the running count reaches ``_nth``; adds the count before it."""
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    running = df.withColumn("_before", F.coalesce(F.sum("_count").over(before), F.lit(0).cast("decimal(38,0)")))
+    running = df.withColumn("_before", F.coalesce(F.sum("_count").over(before), F.lit(0)))
     nth, start = F.col("_nth"), F.col("_before")
     return running.where((nth == 0) | ((start < nth) & (start + F.col("_count") >= nth)))

@@ -1,0 +1,160 @@
+"""Edge cases of the column expressions."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from postlens.functions import records, text, values
+from postlens.operators.cleaning import clean_posts, null_placeholders, with_column_if_absent
+from postlens.schemas import POSTS_CLEAN, POSTS_TEXT
+
+
+def one_column(spark, items, kind):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(items)], f"i int, v {kind}").orderBy("i")
+
+
+def applied(spark, items, function, kind="string"):
+    rows = one_column(spark, items, kind).select("i", function(F.col("v")).alias("out")).orderBy("i").collect()
+    return [r["out"] for r in rows]
+
+
+def test_placeholders_match_whole_values_only(spark):
+    items = ["User Info Error", "No Title Data Available ", "user info error", "", None, *text.PLACEHOLDERS]
+    got = applied(spark, items, text.placeholder_to_null)
+    assert got == [None, "No Title Data Available ", "user info error", "", None] + [None] * 6
+
+
+def test_placeholders_leave_other_types(spark):
+    df = spark.createDataFrame([("User Info Error", 5, "x")], "a string, n int, b string")
+    assert null_placeholders(df).collect() == [(None, 5, "x")]
+    assert null_placeholders(df).dtypes == df.dtypes
+
+
+def test_swap_token(spark):
+    assert applied(spark, ["k", "12k", "K", None], lambda c: text.swap_token(c, "k", "000")) == [
+        "000",
+        "12k",
+        "K",
+        None,
+    ]
+
+
+def test_expand_suffix(spark):
+    assert applied(spark, ["k", "12k", "12kk", "k1", None], text.expand_suffix) == ["000", "12000", "12k000", "k1", None]
+
+
+def test_lenient_int(spark):
+    items = ["000", " 57 ", "1.5", "3000000000", "12k", "-7", "", None]
+    assert applied(spark, items, text.lenient_int) == [0, 57, None, None, None, -7, None, None]
+
+
+def test_without_text(spark):
+    items = ["Local save in Local save in y", "local save in z", "x Local save in y", None]
+    assert applied(spark, items, text.without_text) == ["y", "local save in z", "x y", None]
+
+
+def test_joined_text(spark):
+    df = spark.createDataFrame([(None, "x"), (None, None), ("a", "b")], "p string, q string")
+    got = [r[0] for r in df.select(text.joined_text(F.col("p"), F.col("q"))).collect()]
+    assert got == ["x", "", "a b"]
+
+
+def test_lenient_timestamp(spark):
+    items = ["2019-03-04T05:06:07", "2019-03-04 05:06:07", "junk", None]
+    got = applied(spark, items, lambda c: values.lenient_timestamp(c).cast("timestamp_ntz"))
+    moment = dt.datetime(2019, 3, 4, 5, 6, 7)
+    assert got == [moment, moment, None, None]
+
+
+def test_band_edges(spark):
+    items = [17, 18, 24, 25, 35, 36, 50, 51, None]
+    assert applied(spark, items, values.band, "int") == [
+        None,
+        "18-24",
+        "18-24",
+        "25-35",
+        "25-35",
+        "36-50",
+        "36-50",
+        "+50",
+        None,
+    ]
+
+
+def test_coordinates_keep_order_and_type(spark):
+    df = spark.createDataFrame([(1.5, -2.0)], "a double, b double")
+    assert df.select(values.coordinates(F.col("a"), F.col("b"))).first()[0] == [1.5, -2.0]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_in_years_keeps_both_ends(spark, kind):
+    stamps = ["2014-12-31 23:59:59.999999", "2015-01-01 00:00:00", "2020-12-31 23:59:59.999999", "2021-01-01 00:00:00"]
+    df = one_column(spark, [*stamps, None], "string").select("i", F.col("v").cast(kind).alias("at"))
+    kept = values.in_years(df, "at", 2015, 2020).select("i", values.year_of("at")).orderBy("i").collect()
+    assert [tuple(r) for r in kept] == [(1, 2015), (2, 2020)]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_iso_text_is_that_of_python(spark, kind):
+    moments = [
+        dt.datetime(2019, 3, 4, 5, 6, 7),
+        dt.datetime(2019, 3, 4, 5, 6, 7, 120000),
+        dt.datetime(2019, 3, 4, 0, 0, 0, 1),
+    ]
+    got = applied(spark, [str(m) for m in moments], lambda c: records.iso_text(c.cast(kind)))
+    assert got == [m.isoformat() for m in moments]
+
+
+def test_topic_envelope(spark):
+    df = spark.sql("SELECT timestamp '2019-03-04 05:06:07' AS ts, CAST(NULL AS INT) AS x, true AS there")
+    row = records.row_struct(df, ["ts", "x"])
+    full = '{"records":[{"value":{"ts":"2019-03-04T05:06:07","x":null}}]}'
+    assert df.select(records.topic_envelope(row)).first()[0] == full
+    assert df.select(records.topic_envelope(row, F.col("there"))).first()[0] == full
+    missing = df.select(records.topic_envelope(row, ~F.col("there"))).first()[0]
+    assert json.loads(missing) == {"records": [{"value": {}}]}
+
+
+def test_stream_envelope(spark):
+    df = spark.sql("SELECT 7 AS ind, 'é\"' AS name")
+    text_of = df.select(records.stream_envelope(records.row_struct(df), "posts", F.col("ind"))).first()[0]
+    assert json.loads(text_of) == {"StreamName": "posts", "Data": {"ind": 7, "name": 'é"'}, "PartitionKey": "7"}
+
+
+def test_routed(spark):
+    assert applied(spark, ["a", "b", "c", None], lambda c: records.routed(c, {"a": "t.a", "b": "t.b"})) == [
+        "t.a",
+        "t.b",
+        None,
+        None,
+    ]
+
+
+def test_decode_payload(spark):
+    payloads = ['{"a":"1","b":"x"}', "{bad", '{"a":2,"c":true}', None]
+    df = one_column(spark, payloads, "string").select(F.col("v").cast("binary").alias("data"))
+    got = [tuple(r) for r in records.decode_payload(df, "a string, b string").collect()]
+    assert sorted(got, key=str) == sorted([("1", "x"), (None, None), ("2", None), (None, None)], key=str)
+
+
+def test_cleaning_twice_changes_nothing(spark):
+    raw = {name: "x" for name in POSTS_TEXT.names} | {"follower_count": "12", "save_location": "Local save in /d"}
+    once = clean_posts(spark.createDataFrame([raw], POSTS_TEXT))
+    again = clean_posts(once.withColumnRenamed("ind", "index").withColumn("downloaded", F.lit("1")))
+    assert once.columns == again.columns == POSTS_CLEAN
+    assert once.collect() == again.collect()
+
+
+def test_numeric_follower_counts_pass(spark):
+    raw = {name: "x" for name in POSTS_TEXT.names}
+    df = spark.createDataFrame([raw], POSTS_TEXT).withColumn("follower_count", F.lit(3_000_000_000))
+    assert clean_posts(df).first()["follower_count"] is None
+    assert clean_posts(df.withColumn("follower_count", F.lit(7))).first()["follower_count"] == 7
+
+
+def test_with_column_if_absent(spark):
+    df = spark.range(1)
+    assert with_column_if_absent(df, "id", F.lit(9)).first() == (0,)
+    assert with_column_if_absent(df, "x", F.lit(9)).first() == (0, 9)

@@ -1,0 +1,63 @@
+"""What the plans must and must not contain."""
+
+import oracle
+import pytest
+
+import __spark_entry__ as contract
+
+
+def executed(df):
+    """Text of the final adaptive plan, after a run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def bound(spark, name):
+    return contract.queries()[name](spark, oracle.SF_DIR)
+
+
+LAZY = [
+    name
+    for name in contract.queries()
+    if not name.startswith(("stream_clean", "row", "json_topic", "envelope_round", "table_read_back"))
+]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_cross_join_and_no_python(spark, name):
+    plan = planned(bound(spark, name))
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin Cross", "Python", "SinglePartition, REPARTITION"):
+        assert unwanted not in plan
+
+
+@pytest.mark.parametrize("name", ["top_category_by_country", "top_poster_by_country", "most_followed_by_country"])
+def test_rank_is_limited_before_the_shuffle(spark, name):
+    plan = planned(bound(spark, name))
+    assert "row_number(), 1, Partial" in plan
+
+
+@pytest.mark.parametrize("name", ["category_counts_by_year", "joined_per_year", "median_by_year"])
+def test_year_range_reaches_the_reader(spark, name):
+    plan = bound(spark, name)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in plan
+    assert "LessThan(o_orderdate,2001-01-01" in plan
+
+
+def test_only_used_columns_are_read(spark):
+    plan = planned(bound(spark, "top_category_by_country"))
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderpriority:string>" in plan
+
+
+@pytest.mark.parametrize("name", ["median_by_age_band", "median_followers_by_age_band", "median_by_part"])
+def test_values_of_a_median_are_counted_once(spark, name):
+    assert "ReusedExchange" in executed(bound(spark, name))
+
+
+def test_sides_are_reduced_before_they_meet(spark):
+    plan = planned(bound(spark, "repeated_top_category_by_country"))
+    join = plan.index("Join")
+    assert plan.count("partial_count", join) == 2
