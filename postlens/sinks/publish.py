@@ -7,12 +7,16 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions.records import row_struct, stream_envelope, topic_envelope
+from postlens.functions.records import JSON_OPTIONS, row_struct, stream_envelope, topic_envelope
 
 
-def topic_records(df: DataFrame, topic: str, columns=None, present: Column | None = None) -> DataFrame:
-    """K2: one record per row, as ``topic`` and ``value``."""
-    return df.select(F.lit(topic).alias("topic"), topic_envelope(row_struct(df, columns), present).alias("value"))
+def topic_records(
+    df: DataFrame, topic: str, columns=None, present: Column | None = None, envelope: bool = True
+) -> DataFrame:
+    """K2: one record per row, as ``topic`` and ``value``. Without ``envelope`` the value is the row alone, as a message."""
+    row = row_struct(df, columns)
+    value = topic_envelope(row, present) if envelope else F.to_json(row, JSON_OPTIONS)
+    return df.select(F.lit(topic).alias("topic"), value.alias("value"))
 
 
 def stream_records(df: DataFrame, stream: str, key: Column, columns=None) -> DataFrame:

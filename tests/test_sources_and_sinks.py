@@ -40,6 +40,12 @@ def test_published_rows_come_back(spark, tmp_path):
     }
 
 
+def test_message_without_envelope(spark):
+    df = spark.sql("SELECT 1 AS ind, CAST(NULL AS STRING) AS gone")
+    record = topic_records(df, "t", envelope=False).first()
+    assert (record.topic, record.value) == ("t", '{"ind":1,"gone":null}')
+
+
 def test_stream_records_carry_their_key(spark):
     df = spark.range(3)
     records = stream_records(df, "s", df["id"]).collect()
