@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType
 from postlens.functions.text import (
     expand_suffix,
     joined_text,
-    lenient_int,
+    lenient_number,
     placeholder_to_null,
     swap_token,
     without_text,
@@ -37,8 +37,13 @@ def null_placeholders(df: DataFrame) -> DataFrame:
     )
 
 
-def _typed(column: Column, kind: str, wanted: bool) -> Column:
-    return column.try_cast(kind) if wanted else column
+def _number(df: DataFrame, name: str, kind: str, wanted: bool = True, column: Column | None = None) -> Column:
+    """A column of ``df``, or an expression on it, as a number; as it is where that is not wanted."""
+    column = F.col(name) if column is None else column
+    if not wanted:
+        return column
+    is_text = isinstance(df.schema[name].dataType, StringType)
+    return lenient_number(column, kind) if is_text else column.try_cast(kind)
 
 
 def clean_posts(df: DataFrame, follower_mode: str = "exact", typed: bool = False) -> DataFrame:
@@ -47,13 +52,12 @@ def clean_posts(df: DataFrame, follower_mode: str = "exact", typed: bool = False
     ``exact`` turns the lone text ``k`` into ``000``, so ``12k`` ends as NULL; ``suffix`` reads ``12k`` as 12000.
     ``typed`` casts a text key to bigint, as the batch files hold it.
     """
-    marked = FOLLOWER_MODES[follower_mode]
     is_text = isinstance(df.schema["follower_count"].dataType, StringType)
-    followers = F.col("follower_count")
+    followers = FOLLOWER_MODES[follower_mode if is_text else "none"](F.col("follower_count"))
     columns = {
-        "follower_count": lenient_int(marked(followers) if is_text else followers),
+        "follower_count": _number(df, "follower_count", "int", column=followers),
         "save_location": without_text(F.col("save_location")),
-        "ind": _typed(F.col("index"), "bigint", typed),
+        "ind": _number(df, "index", "bigint", typed),
     }
     clean = null_placeholders(df)
     return clean.select(*[columns.get(name, F.col(name)).alias(name) for name in POSTS_CLEAN])
@@ -62,9 +66,9 @@ def clean_posts(df: DataFrame, follower_mode: str = "exact", typed: bool = False
 def clean_places(df: DataFrame, typed: bool = False) -> DataFrame:
     """C2 and C5. ``typed`` casts text keys to bigint and text coordinates to double."""
     columns = {
-        "ind": _typed(F.col("ind"), "bigint", typed),
+        "ind": _number(df, "ind", "bigint", typed),
         "coordinates": coordinates(
-            _typed(F.col("latitude"), "double", typed), _typed(F.col("longitude"), "double", typed)
+            _number(df, "latitude", "double", typed), _number(df, "longitude", "double", typed)
         ),
         "timestamp": lenient_timestamp(F.col("timestamp")),
     }
@@ -74,9 +78,9 @@ def clean_places(df: DataFrame, typed: bool = False) -> DataFrame:
 def clean_users(df: DataFrame, typed: bool = False) -> DataFrame:
     """C3 and C6. ``typed`` casts text keys and ages to bigint."""
     columns = {
-        "ind": _typed(F.col("ind"), "bigint", typed),
+        "ind": _number(df, "ind", "bigint", typed),
         "user_name": joined_text(F.col("first_name"), F.col("last_name")),
-        "age": _typed(F.col("age"), "bigint", typed),
+        "age": _number(df, "age", "bigint", typed),
         "date_joined": lenient_timestamp(F.col("date_joined")),
     }
     return df.select(*[columns.get(name, F.col(name)).alias(name) for name in USERS_CLEAN])

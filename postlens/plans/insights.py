@@ -11,7 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from postlens.functions.text import lenient_number
 from postlens.functions.values import AGE_BANDS, band, in_years, year_of
 from postlens.operators.joins import argmax_rows, spread_join, tally
 from postlens.operators.rollups import (
@@ -118,7 +120,9 @@ def median_followers_by_band_and_join_year(
 
 
 def _banded(users: DataFrame, bands) -> DataFrame:
-    return users.withColumn("age_group", band(F.col("age").try_cast("double"), bands))
+    is_text = isinstance(users.schema["age"].dataType, StringType)
+    age = lenient_number(F.col("age"), "double") if is_text else F.col("age")
+    return users.withColumn("age_group", band(age, bands))
 
 
 def _by_join_year(users: DataFrame, years: tuple[int, int]) -> DataFrame:

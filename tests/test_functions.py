@@ -50,6 +50,17 @@ def test_lenient_int(spark):
     assert applied(spark, items, text.lenient_int) == [0, 57, None, None, None, -7, None, None]
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "double"])
+def test_lenient_number_is_the_cast(spark, kind):
+    """The pattern asked before the cast lets through all the cast takes."""
+    items = ["7", "+7", "-07", " 7 ", "\t7\n", "\x007\x7f", "7 7", "7.", ".7", "7.0", "7e2", "1e400", "-", "+", "", " "]
+    items += ["k", "7k", "NaN", "nan", "inf", "-Infinity", "+inf", "infinity", "0x1F", "7d", "7f", "７", "\u00a07"]
+    items += [str(sign * (2**bits + step)) for bits in (31, 63, 64) for step in (-1, 0, 1) for sign in (1, -1)]
+    items += ["0" * 30 + "12", "-" + "0" * 30 + "12", "9" * 25, None]
+    plain = applied(spark, items, lambda c: c.try_cast(kind))
+    assert repr(applied(spark, items, lambda c: text.lenient_number(c, kind))) == repr(plain)
+
+
 def test_without_text(spark):
     items = ["Local save in Local save in y", "local save in z", "x Local save in y", None]
     assert applied(spark, items, text.without_text) == ["y", "local save in z", "x y", None]
