@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Most pieces a hot key is cut into.
-MOST_PIECES = 1_024
+MOST_PIECES = 10_000
 
 
 def join_places(posts: DataFrame, places: DataFrame, key: str = "ind") -> DataFrame:
@@ -33,7 +33,7 @@ def tally(df: DataFrame, *keys: str, name: str) -> DataFrame:
 
 
 def spread_join(
-    many: DataFrame, few: DataFrame, key: str, hot_keys: int = 1_000, least_rows: int = 1_000_000
+    many: DataFrame, few: DataFrame, key: str, hot_keys: int = 1_000, least_rows: int = 10_000
 ) -> DataFrame:
     """Inner equi-join on ``key`` where single keys may hold a large part of ``many``.
 
@@ -41,14 +41,18 @@ def spread_join(
     hash of the row, and the rows of ``few`` with such a key are repeated once per piece. Any other key holds less than
     1/hot_keys of the rows and is joined as it is. Rows of ``many`` must be distinct, or copies share a piece.
     """
-    sizes = many.groupBy(key).agg(F.count("*").alias("_rows"))
-    most = sizes.where(F.col("_rows") > least_rows).orderBy(F.desc("_rows"), key).limit(hot_keys)
+    # ``many`` is used twice. The NULL filter, and a tie-break that needs all columns, give both uses the same plan, so
+    # that its last shuffle runs once and is reused.
+    many = many.where(F.col(key).isNotNull())
+    row_hash = F.xxhash64(*many.columns)
+    sizes = many.groupBy(key).agg(F.count("*").alias("_rows"), F.max(row_hash).alias("_tie"))
+    most = sizes.where(F.col("_rows") > least_rows).orderBy(F.desc("_rows"), "_tie").limit(hot_keys)
     hot = F.broadcast(  # at most hot_keys rows
         most.select(key, F.least(F.ceil(F.col("_rows") / least_rows), F.lit(MOST_PIECES)).cast("int").alias("_pieces"))
     )
     pieces = F.coalesce("_pieces", F.lit(1))
 
-    cut = many.join(hot, key, "left").withColumn("_piece", F.pmod(F.xxhash64(*many.columns), pieces).cast("int"))
+    cut = many.join(hot, key, "left").withColumn("_piece", F.pmod(row_hash, pieces).cast("int"))
     repeated = few.join(hot, key, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
     return cut.drop("_pieces").join(repeated.drop("_pieces"), [key, "_piece"], "inner").drop("_piece")
 

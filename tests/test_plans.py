@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as contract
+from postlens.operators import joins
 
 
 def executed(df):
@@ -57,6 +58,28 @@ def test_values_of_a_median_are_counted_once(spark, name):
     assert "ReusedExchange" in executed(bound(spark, name))
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_spread_join_counts_its_side_once(spark, threshold):
+    """With broadcast and with sort-merge joins, where there are hot keys."""
+    posts, places, _ = contract.social(spark, oracle.SF_DIR)
+    per_post = joins.tally(posts, "ind", "follower_count", name="_posts")
+    joined = joins.spread_join(per_post, joins.tally(places, "ind", name="_places"), "ind", least_rows=10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plan = executed(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan parquet [user_id") == 1
+    assert plan.count("ReusedExchange") >= 2
+
+
+@pytest.mark.parametrize("name", ["median_followers_by_age_band", "median_followers_by_band_and_join_year"])
+def test_each_table_of_a_joined_median_is_read_once(spark, name):
+    plan = executed(bound(spark, name))
+    assert plan.count("FileScan parquet [user_id") == 1
+    assert plan.count("FileScan parquet [o_custkey") == 1
+
+
 def test_sides_are_reduced_before_they_meet(spark):
     plan = planned(bound(spark, "repeated_top_category_by_country"))
     join = plan.index("Join")
