@@ -190,7 +190,13 @@ def flat_users(cleaned: DataFrame) -> DataFrame:
 
 def live_records(spark: SparkSession, sf_dir: str, name: str, raw: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """A table's files as a live stream of raw records, each a binary JSON payload in ``data``."""
-    rows = open_stream(spark, "parquet", path=f"{sf_dir}/{name}*.parquet", schema=table(spark, sf_dir, name).schema)
+    rows = open_stream(
+        spark,
+        "parquet",
+        {"maxFilesPerTrigger": "10000"},
+        path=f"{sf_dir}/{name}*.parquet",
+        schema=table(spark, sf_dir, name).schema,
+    )
     return raw(rows).select(F.to_json(F.struct("*")).cast("binary").alias("data"))
 
 
@@ -304,9 +310,8 @@ def top_type_by_age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def median_by_age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E9 and the exact lower median on one table."""
-    return exact_median_by(
-        events_by_band(spark, sf_dir), ["age_group"], "value", "median_follower_count", few_groups=True
-    )
+    events = events_by_band(spark, sf_dir)
+    return exact_median_by(events, ["age_group"], "value", "median_follower_count", few_groups=True, rescan=True)
 
 
 def median_by_band_and_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,7 +324,9 @@ def median_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 and the exact median of the known prices per year."""
     known = table(spark, sf_dir, "orders").where(F.col("o_totalprice").isNotNull())
     dated = in_years(known, "o_orderdate", *YEARS).withColumn("post_year", year_of("o_orderdate"))
-    return exact_median_by(dated, ["post_year"], "o_totalprice", "median_follower_count", few_groups=True)
+    return exact_median_by(
+        dated, ["post_year"], "o_totalprice", "median_follower_count", few_groups=True, rescan=True
+    )
 
 
 def median_by_band_and_year(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def top_n_per_group(
     """W1+F1: the ``n`` rows of each group with the greatest ``measure``, ties settled by ``tiebreak`` ascending.
 
     Catalyst turns the rank filter into a per-task limit before the shuffle, so a group however large sends at most ``n``
-    rows per task.
+    rows per task (as long as ``n`` is within ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default).
     """
     order = [F.col(measure).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in tiebreak]]
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
@@ -50,21 +50,28 @@ def exact_median_by(
     name: str,
     weight: str | None = None,
     few_groups: bool = False,
+    rescan: bool = False,
 ) -> DataFrame:
     """Lower median of a numeric ``value`` per group, each row counted ``weight`` times (a positive whole number).
 
     NULL values are passed over; a group with nothing else gives NULL. No group is gathered in one task: distinct values
     are counted, the counts are summed over coarse parts of the value range, and only the values in the part that holds
     the median are ranked. For 32-bit integers that leaves at most ``PARTS`` values per group; for wider types the part
-    is first split once more, into ``PARTS`` equal parts. ``few_groups`` says that the number of groups is bounded by the
-    meaning of the keys (a band, a year), which allows broadcasting one row per group.
+    is first split once more, into ``PARTS`` equal parts.
+
+    ``few_groups`` says that the number of groups is bounded by the meaning of the keys (a band, a year), which allows
+    broadcasting one row per group. With ``rescan``, each of the two or three steps reads ``df`` again and combines on the
+    map side, so that hardly anything is shuffled: right for few groups of a table's rows, wrong after a join. Without it
+    the distinct values are shuffled once and kept.
     """
     keys = list(keys)
-    if weight is None:
-        count = F.count(value)
-    else:  # wide enough for the product of three row counts
-        count = F.sum(F.when(F.col(value).isNotNull(), F.col(weight)).otherwise(0).cast("decimal(38,0)"))
-    counted = df.groupBy(*keys, F.col(value).alias("_value")).agg(count.alias("_count"))
+    # A weight is wide enough for the product of three row counts.
+    times = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("decimal(38,0)")
+    each = F.when(F.col(value).isNotNull(), times).otherwise(0)
+    if rescan:
+        counted = df.select(*keys, F.col(value).alias("_value"), each.alias("_count"))
+    else:
+        counted = df.groupBy(*keys, F.col(value).alias("_value")).agg(F.sum(each).alias("_count"))
 
     is_small = isinstance(df.schema[value].dataType, (ByteType, ShortType, IntegerType))
     part = _upper_bits(F.col("_value")) if is_small else _magnitude(F.col("_value"))
@@ -75,7 +82,10 @@ def exact_median_by(
         live = _inside(counted, state, keys, few_groups)
         sums = live.groupBy(*keys, _equal_part().alias("_part")).agg(*_summary(), F.max("_nth").alias("_nth"))
         state = _holding_nth(sums, keys, "_part")
-    last = _holding_nth(_inside(counted, state, keys, few_groups), keys, "_value")
+    live = _inside(counted, state, keys, few_groups)
+    if rescan:
+        live = live.groupBy(*keys, "_value").agg(F.sum("_count").alias("_count"), F.max("_nth").alias("_nth"))
+    last = _holding_nth(live, keys, "_value")
     return last.select(*keys, F.col("_value").alias(name))
 
 

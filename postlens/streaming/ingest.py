@@ -26,7 +26,10 @@ def open_stream(
     path: str | None = None,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """S6+T4: a record stream from its earliest record. ``options`` win over the defaults."""
+    """S6+T4: a record stream from its earliest record. ``options`` win over the defaults.
+
+    Bound a micro-batch there (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``), or the first one takes all there is.
+    """
     reader = spark.readStream.format(fmt).options(**{**EARLIEST.get(fmt, {}), **dict(options or {})})
     if schema is not None:
         reader = reader.schema(schema)

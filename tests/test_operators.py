@@ -49,22 +49,24 @@ KINDS = {
 @pytest.mark.parametrize("kind", list(KINDS))
 def test_exact_median_is_that_of_sorted_rows(spark, kind):
     @FEW
-    @given(st.lists(st.tuples(KEYS, KINDS[kind], WEIGHTS), min_size=1, max_size=40), st.booleans())
-    def check(rows, few_groups):
+    @given(st.lists(st.tuples(KEYS, KINDS[kind], WEIGHTS), min_size=1, max_size=40), st.booleans(), st.booleans())
+    def check(rows, few_groups, rescan):
         df = spark.createDataFrame(rows, f"k string, v {kind}, w bigint")
-        got = collected(rollups.exact_median_by(df, ["k"], "v", "m", "w", few_groups))
+        got = collected(rollups.exact_median_by(df, ["k"], "v", "m", "w", few_groups, rescan))
         assert got == medians(rows)
-        plain = collected(rollups.exact_median_by(df, ["k"], "v", "m"))
+        plain = collected(rollups.exact_median_by(df, ["k"], "v", "m", None, few_groups, not rescan))
         assert plain == medians([(k, v, 1) for k, v, _ in rows])
 
     check()
 
 
-def test_exact_median_of_special_numbers(spark):
+@pytest.mark.parametrize("rescan", [False, True])
+def test_exact_median_of_special_numbers(spark, rescan):
     inf, nan = float("inf"), float("nan")
     rows = [("a", -inf), ("a", -inf), ("a", 1.0), ("b", nan), ("b", nan), ("b", inf), ("c", -1e308), ("c", 1e308)]
-    rows += [("c", 5e-324), ("d", None), ("e", 0.0), ("e", 5e-324)]
-    got = collected(rollups.exact_median_by(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m"))
+    rows += [("c", 5e-324), ("d", None), ("d", None), ("e", 0.0), ("e", 5e-324)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = collected(rollups.exact_median_by(df, ["k"], "v", "m", rescan=rescan))
     assert math.isnan(got.pop("b"))
     assert got == {"a": -inf, "c": 5e-324, "d": None, "e": 0.0}
 

@@ -53,11 +53,20 @@ def test_only_used_columns_are_read(spark):
     assert "ReadSchema: struct<o_custkey:bigint,o_orderpriority:string>" in plan
 
 
-@pytest.mark.parametrize("name", ["median_by_age_band", "median_followers_by_age_band", "median_by_part"])
+@pytest.mark.parametrize("name", ["median_by_band_and_year", "median_followers_by_age_band", "median_by_part"])
 def test_values_of_a_median_are_counted_once(spark, name):
     assert "ReusedExchange" in executed(bound(spark, name))
 
 
+@pytest.mark.parametrize("name", ["median_by_age_band", "median_by_year"])
+def test_median_of_a_table_combines_before_it_shuffles(spark, name):
+    plan = planned(bound(spark, name))
+    assert plan.count("FileScan") == 3
+    assert "SortMergeJoin" not in plan
+    below_exchanges = plan.split("Exchange hashpartitioning")[1:]
+    assert all("partial_sum" in part or "HashAggregate" in part or "Sort" in part for part in below_exchanges)
+
+
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_spread_join_counts_its_side_once(spark, threshold):
     """With broadcast and with sort-merge joins, where there are hot keys."""
