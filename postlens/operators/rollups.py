@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, ShortType
 
-from postlens.operators.joins import null_safe
-
 # Parts a value range is split into by ``exact_median_by``.
 PARTS = 65_536
 
@@ -65,28 +63,46 @@ def exact_median_by(
     the distinct values are shuffled once and kept.
     """
     keys = list(keys)
+    named = df.select(*keys, F.col(value).alias("_value"), *([] if weight is None else [F.col(weight).alias("_weight")]))
     # A weight is wide enough for the product of three row counts.
-    times = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("decimal(38,0)")
-    each = F.when(F.col(value).isNotNull(), times).otherwise(0)
+    times = "1L" if weight is None else "CAST(_weight AS DECIMAL(38, 0))"
+    each = F.expr(f"CASE WHEN _value IS NULL THEN 0 ELSE {times} END")
     if rescan:
-        counted = df.select(*keys, F.col(value).alias("_value"), each.alias("_count"))
+        counted = named.select(*keys, "_value", each.alias("_count"))
     else:
-        counted = df.groupBy(*keys, F.col(value).alias("_value")).agg(F.sum(each).alias("_count"))
+        counted = named.groupBy(*keys, "_value").agg(F.sum(each).alias("_count"))
 
     is_small = isinstance(df.schema[value].dataType, (ByteType, ShortType, IntegerType))
-    part = _upper_bits(F.col("_value")) if is_small else _magnitude(F.col("_value"))
-    sums = counted.groupBy(*keys, part.alias("_part")).agg(*_summary())
-    rows = F.sum("_count").over(Window.partitionBy(*keys)).cast("decimal(38,0)")
-    state = _holding_nth(sums.withColumn("_nth", F.ceil(rows / 2)), keys, "_part")
+    sums = counted.groupBy(*keys, F.expr(UPPER_BITS if is_small else MAGNITUDE).alias("_part")).agg(*_summary())
+    rows = f"sum(_count) OVER (PARTITION BY {_listed(keys)})"
+    state = _holding_nth(sums.selectExpr("*", f"ceil(CAST({rows} AS DECIMAL(38, 0)) / 2) AS _nth"), keys, "_part")
     if not is_small:
         live = _inside(counted, state, keys, few_groups)
-        sums = live.groupBy(*keys, _equal_part().alias("_part")).agg(*_summary(), F.max("_nth").alias("_nth"))
+        sums = live.groupBy(*keys, F.expr(EQUAL_PART).alias("_part")).agg(*_summary(), F.max("_nth").alias("_nth"))
         state = _holding_nth(sums, keys, "_part")
     live = _inside(counted, state, keys, few_groups)
     if rescan:
         live = live.groupBy(*keys, "_value").agg(F.sum("_count").alias("_count"), F.max("_nth").alias("_nth"))
-    last = _holding_nth(live, keys, "_value")
-    return last.select(*keys, F.col("_value").alias(name))
+    return _holding_nth(live, keys, "_value").select(*keys, F.col("_value").alias(name))
+
+
+# Three ways to a part of the value range. None falls as the value rises, which is all that is asked of them.
+# The upper half of a 32-bit integer.
+UPPER_BITS = "shiftright(CAST(_value AS INT), 16)"
+# Logarithmic steps of about 1.6 % to both sides of zero; infinities and NaN at their ends.
+MAGNITUDE = f"""CASE
+    WHEN isnan(CAST(_value AS DOUBLE)) THEN {PARTS + 1}
+    WHEN CAST(_value AS DOUBLE) = double('infinity') THEN {PARTS}
+    WHEN CAST(_value AS DOUBLE) = double('-infinity') THEN -{PARTS}
+    ELSE CAST(signum(CAST(_value AS DOUBLE)) * floor(log1p(abs(CAST(_value AS DOUBLE))) * 64) AS INT) END"""
+# Equal steps from _low to _high, by halves so that nothing overflows. One step where the two are equal or not finite.
+EQUAL_PART = f"""coalesce(CAST(floor({PARTS - 1} * nanvl(try_divide(
+    CAST(_value AS DOUBLE) / 2 - CAST(_low AS DOUBLE) / 2,
+    CAST(_high AS DOUBLE) / 2 - CAST(_low AS DOUBLE) / 2), 0D)) AS INT), 0)"""
+
+
+def _listed(keys: list[str]) -> str:
+    return ", ".join(f"`{k}`" for k in keys)
 
 
 def _summary() -> tuple[Column, ...]:
@@ -94,50 +110,22 @@ def _summary() -> tuple[Column, ...]:
 
 
 def _inside(counted: DataFrame, state: DataFrame, keys: list[str], few_groups: bool) -> DataFrame:
-    """Counted values within their group's interval; the one NULL row of a group without values stays.
+    """Counted values within their group's interval; the NULL rows of a group without values stay.
 
     The condition is wrapped so that Catalyst infers no not-NULL filter for one side: all uses of ``counted`` then have
     the same plan, and its shuffle runs once.
     """
-    nth = (F.col("_nth") - F.col("_before")).alias("_nth")
-    renamed = state.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_low", "_high", nth)
+    renamed = state.selectExpr(*[f"`{k}` AS `_key_{k}`" for k in keys], "_low", "_high", "_nth - _before AS _nth")
     if few_groups:
         renamed = F.broadcast(renamed)  # one row per band or year
-    same_group = null_safe([(F.col(k), F.col(f"_key_{k}")) for k in keys])
-    within = F.coalesce(F.col("_value").between(F.col("_low"), F.col("_high")), F.col("_low").isNull())
-    return counted.join(renamed, same_group & within).select(*keys, "_value", "_count", "_low", "_high", "_nth")
-
-
-# The three parts of a value range. None falls as the value rises, which is all that is asked of them.
-
-
-def _upper_bits(value: Column) -> Column:
-    """The upper half of a 32-bit integer."""
-    return F.shiftright(value.cast("int"), 16)
-
-
-def _magnitude(value: Column) -> Column:
-    """Logarithmic steps of about 1.6 % to both sides of zero; infinities and NaN at their ends."""
-    wide = value.cast("double")
-    steps = F.signum(wide) * F.floor(F.log1p(F.abs(wide)) * 64)
-    return (
-        F.when(F.isnan(wide), PARTS + 1)
-        .when(wide == float("inf"), PARTS)
-        .when(wide == float("-inf"), -PARTS)
-        .otherwise(steps.cast("int"))
-    )
-
-
-def _equal_part() -> Column:
-    """One of ``PARTS`` equal steps from ``_low`` to ``_high``. One step where the two are equal or not finite."""
-    value, low, high = (F.col(c).cast("double") / 2 for c in ("_value", "_low", "_high"))  # halves: no overflow
-    share = F.nanvl(F.try_divide(value - low, high - low), F.lit(0.0))
-    return F.coalesce(F.floor(share * (PARTS - 1)).cast("int"), F.lit(0))
+    same_group = " AND ".join(f"`{k}` <=> `_key_{k}`" for k in keys)
+    within = "coalesce(_value BETWEEN _low AND _high, _low IS NULL)"
+    joined = counted.join(renamed, F.expr(f"{same_group} AND {within}"))
+    return joined.select(*keys, "_value", "_count", "_low", "_high", "_nth")
 
 
 def _holding_nth(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Per group the row, by ``order``, in which the running count reaches ``_nth``; adds the count before it."""
-    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    running = df.withColumn("_before", F.coalesce(F.sum("_count").over(before), F.lit(0)))
-    nth, start = F.col("_nth"), F.col("_before")
-    return running.where((nth == 0) | ((start < nth) & (start + F.col("_count") >= nth)))
+    window = f"PARTITION BY {_listed(keys)} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    running = df.selectExpr("*", f"coalesce(sum(_count) OVER ({window}), 0) AS _before")
+    return running.where("_nth = 0 OR (_before < _nth AND _before + _count >= _nth)")
