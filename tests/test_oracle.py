@@ -24,3 +24,15 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 25
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+@pytest.mark.parametrize(
+    "name", ["parse_timestamp", "record_envelope", "clean_places", "clean_users", "category_counts_by_year"]
+)
+def test_time_zone_of_the_session_does_not_matter(spark, con, name, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert oracle.spark_rows(contract.queries()[name](spark, oracle.SF_DIR)) == oracle.sql_rows(con, SQL[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

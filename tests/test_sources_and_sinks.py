@@ -7,7 +7,7 @@ from golden import write_lines
 from postlens import session
 from postlens.schemas import POSTS_JSON
 from postlens.sinks.publish import publish, stream_records, topic_records
-from postlens.sources.relational import scan_options
+from postlens.sources.relational import read_relation, scan_options
 from postlens.sources.topics import column_names, read_topic
 
 
@@ -66,3 +66,48 @@ def test_shared_folder_is_the_one_named(spark):
     assert session.shared_folder(spark) == named
     assert session.fresh_path(spark, "x").startswith(f"{named}/x-")
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
+
+
+class _Reader:
+    """Stands in for a session's reader: notes the options of each load, answers the question for the key's ends."""
+
+    def __init__(self, ends):
+        self.ends, self.loads, self.said = ends, [], {}
+
+    def format(self, fmt):
+        self.said = {"format": fmt}
+        return self
+
+    def options(self, **options):
+        self.said |= options
+        return self
+
+    def load(self):
+        self.loads.append(self.said)
+        return self
+
+    def first(self):
+        return self.ends
+
+
+class _Session:
+    def __init__(self, ends=None):
+        self.read = _Reader(ends)
+
+
+def test_relation_asks_for_the_ends_of_its_key():
+    asking = _Session((3, 900))
+    read_relation(asking, "jdbc:x", "posts", "ind", tasks=4, properties={"user": "u"})
+    ends, scan = asking.read.loads
+    assert ends["query"] == "SELECT min(ind) AS low_end, max(ind) AS high_end FROM posts" and ends["user"] == "u"
+    assert (scan["lowerBound"], scan["upperBound"], scan["numPartitions"]) == ("3", "900", "4")
+    assert scan["format"] == "jdbc" and scan["user"] == "u"
+
+
+def test_relation_of_known_or_no_ends():
+    told = _Session()
+    read_relation(told, "jdbc:x", "posts", "ind", bounds=(0, 11_000))
+    assert [load["upperBound"] for load in told.read.loads] == ["11000"]
+    empty = _Session((None, None))
+    read_relation(empty, "jdbc:x", "posts", "ind")
+    assert (empty.read.loads[1]["lowerBound"], empty.read.loads[1]["upperBound"]) == ("0", "1")
