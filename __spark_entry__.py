@@ -718,9 +718,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return top_category_by_country(spark, "/root/testdata/sf0.001")
 
 
+try:  # the operators of postlens.llm and the pipeline over them may have been taken away
+    import corpus_pipeline
+    from postlens.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "postlens.llm", "postlens.llm.queries"):
+        raise
+    LLM_QUERIES: dict[str, Query] = {}
+    LLM_SQL: dict[str, str] = {}
+else:
+    LLM_QUERIES = {"pipeline": corpus_pipeline.run, **llm_queries.QUERIES}
+    LLM_SQL = llm_queries.SQL
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in BINDINGS.items()}
+    return {name: query for name, (query, _) in BINDINGS.items()} | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in BINDINGS.items()}
+    return {name: sql for name, (_, sql) in BINDINGS.items()} | LLM_SQL

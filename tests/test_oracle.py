@@ -13,7 +13,7 @@ def con():
     return oracle.connect()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.BINDINGS))
 def test_query(spark, con, name):
     columns, got = oracle.spark_rows(contract.queries()[name](spark, oracle.SF_DIR))
     wanted_columns, wanted = oracle.sql_rows(con, SQL[name])
