@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postlens.llm.chat import format_chats
 from postlens.llm.common import read
 from postlens.llm.exact_dedup import exact_dedup
+from postlens.llm.license_scan import scan_licenses
 from postlens.llm.sharding import shard_documents
 from postlens.llm.url_filter import filter_urls, urls_with_names
 
@@ -18,6 +20,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(read(spark, sf_dir, "conversations"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
@@ -27,10 +33,16 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, urls_with_names(pages)).drop("possible", "listed")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_chat": op4_chat,
     "op6_sharding": op6_sharding,
     "op9_url_filter": op9_url_filter,
+    "op10_license_scan": op10_license_scan,
 }
 
 SQL: dict[str, str] = {
@@ -41,6 +53,13 @@ SQL: dict[str, str] = {
         SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY normal) AS group_size,
             first_value(doc_id) OVER best = doc_id AS kept, sha256(normal) AS text_sha256
         FROM t WINDOW best AS (PARTITION BY normal ORDER BY points DESC, doc_id)""",
+    "op4_chat": """WITH c AS (
+            SELECT conv_id, list({'r': role, 't': text} ORDER BY turn) AS said FROM conversations GROUP BY conv_id),
+        once AS (SELECT min(conv_id) AS conv_id, said, count(*) AS n_logged FROM c GROUP BY said)
+        SELECT conv_id, 0 AS segment, len(said) AS n_turns, n_logged, list_aggregate(['<|im_start|>' || s.r || chr(10)
+                || s.t || '<|im_end|>' || chr(10) FOR s IN said], 'string_agg', '') AS text
+        FROM once a WHERE NOT EXISTS (FROM c b WHERE b.said[1] = a.said[1] AND len(b.said) > len(a.said)
+            AND b.said[1:len(a.said)] = a.said)""",
     "op9_url_filter": r"""WITH a AS (
             SELECT page_id,
                 CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
