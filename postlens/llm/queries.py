@@ -11,6 +11,7 @@ from postlens.llm.common import read
 from postlens.llm.exact_dedup import exact_dedup
 from postlens.llm.license_scan import scan_licenses
 from postlens.llm.sharding import shard_documents
+from postlens.llm.topk import exact_top_k
 from postlens.llm.url_filter import filter_urls, urls_with_names
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     return filter_urls(pages, urls_with_names(pages)).drop("possible", "listed")
@@ -41,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_chat": op4_chat,
     "op6_sharding": op6_sharding,
+    "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
 }
@@ -60,6 +66,16 @@ SQL: dict[str, str] = {
                 || s.t || '<|im_end|>' || chr(10) FOR s IN said], 'string_agg', '') AS text
         FROM once a WHERE NOT EXISTS (FROM c b WHERE b.said[1] = a.said[1] AND len(b.said) > len(a.said)
             AND b.said[1:len(a.said)] = a.said)""",
+    "op8_top_k": """WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS parts FROM embeddings
+            WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding,
+                lambda x: x IS NOT NULL AND isfinite(x)))),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.parts, c.parts) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+            vec_id, score
+        FROM scored QUALIFY rank <= 10""",
     "op9_url_filter": r"""WITH a AS (
             SELECT page_id,
                 CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
