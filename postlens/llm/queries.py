@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from postlens.llm.bpe import token_digests
 from postlens.llm.chat import format_chats
 from postlens.llm.common import read
 from postlens.llm.exact_dedup import exact_dedup
@@ -14,6 +16,7 @@ from postlens.llm.sharding import shard_documents
 from postlens.llm.topk import exact_top_k
 from postlens.llm.url_filter import filter_urls, urls_with_names
 
+TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -21,6 +24,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(read(spark, sf_dir, "conversations"))
 
@@ -44,6 +51,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_bpe": op2_bpe,
     "op4_chat": op4_chat,
     "op6_sharding": op6_sharding,
     "op8_top_k": op8_top_k,
