@@ -12,6 +12,7 @@ from postlens.llm.chat import format_chats
 from postlens.llm.common import read
 from postlens.llm.exact_dedup import exact_dedup
 from postlens.llm.license_scan import scan_licenses
+from postlens.llm.quality import score_quality
 from postlens.llm.sharding import shard_documents
 from postlens.llm.topk import exact_top_k
 from postlens.llm.url_filter import filter_urls, urls_with_names
@@ -28,6 +29,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(read(spark, sf_dir, "conversations"))
 
@@ -52,6 +57,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_bpe": op2_bpe,
+    "op3_quality": op3_quality,
     "op4_chat": op4_chat,
     "op6_sharding": op6_sharding,
     "op8_top_k": op8_top_k,
