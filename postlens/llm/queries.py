@@ -12,6 +12,7 @@ from postlens.llm.chat import format_chats
 from postlens.llm.common import read
 from postlens.llm.exact_dedup import exact_dedup
 from postlens.llm.license_scan import scan_licenses
+from postlens.llm.near_dedup import near_duplicates
 from postlens.llm.quality import score_quality
 from postlens.llm.sharding import shard_documents
 from postlens.llm.topk import exact_top_k
@@ -37,6 +38,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(read(spark, sf_dir, "conversations"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_chat": op4_chat,
+    "op5_near_dedup": op5_near_dedup,
     "op6_sharding": op6_sharding,
     "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
