@@ -4,21 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from postlens.llm.bpe import token_digests
 from postlens.llm.common import read, settle
 from postlens.llm.exact_dedup import keep_distinct
+from postlens.llm.mixing import keep_mixed
+from postlens.llm.near_dedup import keep_one_per_class
+from postlens.llm.quality import keep_good
+from postlens.llm.queries import MIX_TARGETS, TOKENIZER
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go; it learns from the labels of these documents."""
+    return keep_good(docs, read(spark, sf_dir, "labels"))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return keep_distinct(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return keep_one_per_class(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample with languages at their target weights, sources and topics tempered."""
+    return keep_mixed(docs, MIX_TARGETS)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of what is left."""
+    return token_digests(docs, public_tokenizers.path(TOKENIZER))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
     ("exact dedup", exact_dedup_stage),
+    ("near dedup", near_dedup_stage),
+    ("mixing", mixing_stage),
+    ("bpe", bpe_stage),
 ]
 
 ORACLE_SQL = None  # models, samples and token ids are beyond SQL; tests hold each stage against brute force

@@ -168,3 +168,19 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = scored(stats, fit(stats, labels))
     predicted = F.when(F.col("score") >= THRESHOLD, 1).otherwise(0)
     return rows.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not rejected, with all their columns.
+
+    The model is fitted in one pass over the texts; the second pass, which keeps or drops, needs no join and no shuffle.
+    """
+    model = fit(with_statistics(docs), labels)
+
+    def pick(texts: pd.Series) -> pd.Series:
+        if not len(texts):
+            return pd.Series([], dtype="float64")
+        return pd.Series(model.scores(np.stack([statistics_of(text) for text in texts])))
+
+    score = F.pandas_udf(pick, "double")
+    return docs.where(score(whole_text()) >= THRESHOLD)

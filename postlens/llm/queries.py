@@ -12,6 +12,7 @@ from postlens.llm.chat import format_chats
 from postlens.llm.common import read
 from postlens.llm.exact_dedup import exact_dedup
 from postlens.llm.license_scan import scan_licenses
+from postlens.llm.mixing import mix
 from postlens.llm.near_dedup import near_duplicates
 from postlens.llm.quality import score_quality
 from postlens.llm.sharding import shard_documents
@@ -19,6 +20,8 @@ from postlens.llm.topk import exact_top_k
 from postlens.llm.url_filter import filter_urls, urls_with_names
 
 TOKENIZER = "word_bpe_49k.json"
+# Languages to given weights; sources and topics to their tempered shares.
+MIX_TARGETS = {"lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -46,6 +49,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read(spark, sf_dir, "documents"), MIX_TARGETS).drop("digest")
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(read(spark, sf_dir, "embeddings"))
 
@@ -66,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op4_chat": op4_chat,
     "op5_near_dedup": op5_near_dedup,
     "op6_sharding": op6_sharding,
+    "op7_mixing": op7_mixing,
     "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
