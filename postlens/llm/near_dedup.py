@@ -17,6 +17,7 @@ SIMILAR = (4, 9)  # aligned shingles to both texts' shingles: m / (a + b - m) >=
 SKETCHES = 36
 MINIMA = 5  # shingles in a sketch
 CELLS_AT_ONCE = 1 << 21
+ROUNDS, CENTRAL_ROUNDS = 4, 2  # of comparisons with leaders, before what is left is compared pair by pair
 LABEL, PLACE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -152,20 +153,24 @@ def distinct_nodes(rows: DataFrame) -> DataFrame:
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """``key``, ``num`` and ``leader``, the least number there, for the keys that several texts share."""
+    """``key``, ``num`` and ``shingles`` of the texts, for the keys that several of them share."""
     rows = nodes.select("num", "shingles", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("num").alias("leader"), F.max("num").alias("last"))
-    shared = shared.where(F.col("leader") < F.col("last")).select(F.col("key").alias("its_key"), "leader")
+    shared = rows.groupBy("key").agg(F.min("num").alias("first"), F.max("num").alias("last"))
+    shared = shared.where(F.col("first") < F.col("last")).select(F.col("key").alias("its_key"))
     return settle(rows.join(shared, F.col("key") == F.col("its_key")).drop("its_key"), "members")
 
 
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``num`` and ``text`` of the wanted numbers, settled; each from the row with the text's least id."""
+    located = nodes.select("num", "node", _id_key("first_id").alias("id")).join(wanted, "num")
+    texts = docs.select(F.md5(whole_text()).alias("node"), _id_key().alias("id"), whole_text().alias("text"))
+    return settle(texts.join(located, ["node", "id"]).select("num", "text"), "texts")
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs of numbers ``a`` and ``b`` whose texts are similar, settled."""
-    pairs = settle(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("num")).union(pairs.select(F.col("b").alias("num"))).distinct()
-    wanted = nodes.select("num", "node", _id_key("first_id").alias("id")).join(wanted, "num")
-    texts = docs.select(F.md5(whole_text()).alias("node"), _id_key().alias("id"), whole_text().alias("text"))
-    texts = settle(texts.join(wanted, ["node", "id"]).select("num", "text"), "texts")
+    texts = texts_of(wanted, nodes, docs)
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[int, np.ndarray] = {}
@@ -208,33 +213,89 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _lengths_fit(n: str, m: str) -> Column:
+    return SIMILAR[1] * F.least(n, m) >= SIMILAR[0] * (F.col(n) + F.col(m))
+
+
+def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def open_members(members: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The members, with new labels and degrees, of the buckets that more than one component still meets in."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("its_num")).groupBy("its_num").agg(F.count("*").alias("new_degree"))
+    new = labels.select(F.col("num").alias("its_num"), F.col("label").alias("new")).join(degree, "its_num")
+    now = members.join(new, F.col("num") == F.col("its_num"), "left")
+    label, degree = F.coalesce("new", "num").alias("label"), F.coalesce("new_degree", F.lit(0)).alias("degree")
+    now = settle(now.select("key", "num", "shingles", "shared", label, degree), "labelled-members")
+    split = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    split = split.where(F.col("low") < F.col("high")).select(F.col("key").alias("its_key"))
+    return settle(now.join(split, F.col("key") == F.col("its_key")).drop("its_key"), "open-members")
+
+
+def with_shared(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Sets ``shared``, a bound on how many shingles a text can align with any other open one: those not its own alone.
+
+    A text changed in many places has many shingles that no other has. It can be ruled out by itself, without comparing
+    it with the rest of its group.
+    """
+    texts = texts_of(members.select("num").distinct(), nodes, docs)
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for num, text in zip(batch["num"], batch["text"], strict=True):
+                yield pd.DataFrame({"num": num, "shingle": labelled_shingles(text).view(np.int64)})
+
+    owners = texts.mapInPandas(spread, "num long, shingle long").groupBy("shingle").agg(
+        F.min("num").alias("low"), F.max("num").alias("high")
+    )
+    lone = owners.where(F.col("low") == F.col("high")).groupBy(F.col("low").alias("its_num")).agg(F.count("*").alias("lone"))
+    joined = members.join(lone, F.col("num") == F.col("its_num"), "left")
+    joined = joined.withColumn("shared", F.col("shingles") - F.coalesce("lone", F.lit(0))).drop("its_num", "lone")
+    enough = 5 * F.col("shared") >= SIMILAR[0] * F.col("shingles")  # no partner lowers the need below this
+    return settle(joined.where(enough), "shared-members")
+
+
+def open_pairs(members: DataFrame) -> DataFrame:
+    """Distinct pairs within a bucket and of different components that lengths and shared shingles don't rule out."""
+    left = members.select("key", F.col("num").alias("a"), F.col("shingles").alias("n"), F.col("label").alias("l"), F.col("shared").alias("s"))
+    right = members.select("key", F.col("num").alias("b"), F.col("shingles").alias("m"), F.col("label").alias("r"), F.col("shared").alias("t"))
+    can = SIMILAR[1] * F.least("n", "m", "s", "t") >= SIMILAR[0] * (F.col("n") + F.col("m"))
+    apart = (F.col("a") < F.col("b")) & (F.col("l") != F.col("r")) & can
+    return left.join(right, "key").where(apart).select("a", "b").distinct()
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents' sketch rows, and per distinct text its class: ``node``, ``label``, ``first_id``, ``copies``.
 
-    Texts that share a key are candidates. First each is compared with the leader of each of its buckets, which finds
-    dense groups with few comparisons. Then the pairs that share a bucket but are in different components still, and
-    whose lengths allow it, are compared too: so every candidate pair is either verified or within one class already.
+    Texts that share a key are candidates. First, in a few rounds, each is compared with one leader of each of its buckets,
+    which joins dense groups with few comparisons. Then the pairs that share a bucket but are in different components
+    still, and whose lengths allow it, are compared too: so every candidate pair is either verified or within one class.
     """
     rows = sketched(docs)
     nodes = distinct_nodes(rows)
     members = bucket_members(nodes)
-    led = members.where(F.col("num") != F.col("leader")).select(F.col("leader").alias("a"), F.col("num").alias("b"))
-    led = settle(led.distinct(), "led")
-    links = verified(led, nodes, docs)
-    labels = components(links)
-    own = members.join(labels, "num", "left").select("key", "num", "shingles", F.coalesce("label", "num").alias("label"))
-    own = settle(own, "labelled-members")
-    split = own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    split = split.where(F.col("low") < F.col("high")).select("key")
-    open_members = settle(own.join(split, "key"), "open-members")
-    left = open_members.select("key", F.col("num").alias("a"), F.col("shingles").alias("n"), F.col("label").alias("l"))
-    right = open_members.select("key", F.col("num").alias("b"), F.col("shingles").alias("m"), F.col("label").alias("r"))
-    fits = SIMILAR[1] * F.least("n", "m") >= SIMILAR[0] * (F.col("n") + F.col("m"))
-    apart = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("l") != F.col("r")) & fits)
-    rest = apart.select("a", "b").distinct().join(led, ["a", "b"], "left_anti")
+    links = tried = labels = None
+    own = members.withColumns({"label": F.col("num"), "degree": F.lit(0).cast("long"), "shared": F.col("shingles").cast("long")})
+    for turn in range(ROUNDS):
+        # the leader of a bucket is its text with most links so far, the middle of a dense group; in the last rounds any
+        middle = -F.col("degree") if turn < CENTRAL_ROUNDS else F.xxhash64("key", "num", F.lit(turn))
+        order = F.struct(middle.alias("far"), F.xxhash64("num", F.lit(turn)).alias("any"), "num", "label", "shingles")
+        led = own.join(own.groupBy("key").agg(F.min(order).alias("first")), "key")
+        new = (F.col("label") != F.col("first.label")) & _lengths_fit("shingles", "first.shingles")
+        pairs = led.where(new).select(F.least("num", "first.num").alias("a"), F.greatest("num", "first.num").alias("b"))
+        pairs = settle(_untried(pairs.distinct(), tried), "pairs")
+        found = verified(pairs, nodes, docs)
+        links = found if links is None else links.union(found)
+        tried = pairs if tried is None else tried.union(pairs)
+        labels = components(links)
+        own = open_members(own, labels, links)
+        if turn == CENTRAL_ROUNDS - 1:
+            own = with_shared(own, nodes, docs)
+    rest = settle(_untried(open_pairs(own), tried), "pairs")
     more = verified(rest, nodes, docs)
     if not more.isEmpty():
-        labels = components(settle(links.union(more), "all-links"))
+        labels = components(links.union(more))
     found = nodes.join(labels, "num", "left").select("node", F.coalesce("label", "num").alias("label"), "first_id", "copies")
     return rows, settle(found, "classes")
 
