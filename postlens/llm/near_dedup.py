@@ -20,6 +20,8 @@ CELLS_AT_ONCE = 1 << 21
 ROUNDS, CENTRAL_ROUNDS = 4, 2  # of comparisons with leaders, before what is left is compared pair by pair
 LABEL, PLACE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
+_FACTORS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
+
 
 # ---- one text --------------------------------------------------------------------------------------------------------
 
@@ -36,7 +38,8 @@ def labelled_shingles(text: str) -> np.ndarray:
     count = len(words) - size + 1
     shingles = np.zeros(count, dtype=np.uint64)
     for i in range(size):
-        shingles = mixed(shingles + words[i : i + count])
+        shingles += words[i : i + count] * _FACTORS[i]
+    shingles = mixed(shingles)
     order = np.argsort(shingles, kind="stable")
     fresh = np.ones(count, dtype=bool)
     fresh[1:] = shingles[order[1:]] != shingles[order[:-1]]
@@ -47,7 +50,6 @@ def labelled_shingles(text: str) -> np.ndarray:
     return shingles
 
 
-_FACTORS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def sketches(shingles: np.ndarray) -> np.ndarray:
