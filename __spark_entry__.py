@@ -427,7 +427,7 @@ def row_at_one_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_at_large_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4 beyond the offsets a per-task top-n is used for."""
-    return row_at_offset(table(spark, sf_dir, "lineitem").select("l_orderkey").distinct(), "l_orderkey", 1_200)
+    return row_at_offset(table(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey", 1_200)
 
 
 def drawn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -670,7 +670,7 @@ BINDINGS: dict[str, tuple[Query, str]] = {
     "row_at_offset": (row_at_one_offset, "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1 OFFSET 7"),
     "row_at_large_offset": (
         row_at_large_offset,
-        "SELECT DISTINCT l_orderkey FROM lineitem ORDER BY l_orderkey LIMIT 1 OFFSET 1200",
+        "SELECT l_orderkey FROM lineitem ORDER BY l_orderkey LIMIT 1 OFFSET 1200",
     ),
     "rows_at_offsets": (
         drawn_rows,

@@ -1,4 +1,4 @@
-"""Joins on the record key (J1-J3), and the two means that keep a hot key from filling one task.
+"""Joins on the record key.
 
 A key posted n times in each of the three sets yields n*n rows in posts+places and n*n*n in all three; nothing here
 removes them. The reports need only how often each combination occurs, so they join frames that ``tally`` has reduced to
@@ -8,20 +8,28 @@ before its first shuffle.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Most pieces a hot key is cut into.
-MOST_PIECES = 10_000
+FORCE_SPLIT = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+
 
 
 def join_places(posts: DataFrame, places: DataFrame, key: str = "ind") -> DataFrame:
-    """Inner equi-join, one copy of the key. AQE splits a hot key, both sides being plain shuffles."""
+    """Inner equi-join, one copy of the key. AQE splits a hot key, both sides being plain shuffles.
+
+    Where its result goes straight on into J2, it does so only with ``spark.sql.adaptive.forceOptimizeSkewedJoin``, as in
+    ``session.SETTINGS``; a session without it is warned.
+    """
     return posts.join(places, key, "inner")
 
 
 def join_users(users: DataFrame, posts_places: DataFrame, key: str = "ind") -> DataFrame:
     """Inner equi-join of users to the result of J1, one copy of the key."""
+    if users.sparkSession.conf.get(FORCE_SPLIT, "false") != "true":
+        warnings.warn(f"without {FORCE_SPLIT}=true a hot key of two joins in a row is not split", stacklevel=2)
     return users.join(posts_places, key, "inner")
 
 
@@ -30,31 +38,6 @@ def tally(df: DataFrame, *keys: str, name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def spread_join(
-    many: DataFrame, few: DataFrame, key: str, hot_keys: int = 1_000, least_rows: int = 10_000
-) -> DataFrame:
-    """Inner equi-join on ``key`` where single keys may hold a large part of ``many``.
-
-    The ``hot_keys`` keys with most rows in ``many``, if above ``least_rows``, are cut into pieces of about that size by a
-    hash of the row, and the rows of ``few`` with such a key are repeated once per piece. Any other key holds less than
-    1/hot_keys of the rows and is joined as it is. Rows of ``many`` must be distinct, or copies share a piece.
-    """
-    # ``many`` is used twice. The NULL filter, and a tie-break that needs all columns, give both uses the same plan, so
-    # that its last shuffle runs once and is reused.
-    many = many.where(F.col(key).isNotNull())
-    row_hash = F.xxhash64(*many.columns)
-    sizes = many.groupBy(key).agg(F.count("*").alias("_rows"), F.max(row_hash).alias("_tie"))
-    most = sizes.where(F.col("_rows") > least_rows).orderBy(F.desc("_rows"), "_tie").limit(hot_keys)
-    hot = F.broadcast(  # at most hot_keys rows
-        most.select(key, F.least(F.ceil(F.col("_rows") / least_rows), F.lit(MOST_PIECES)).cast("int").alias("_pieces"))
-    )
-    pieces = F.coalesce("_pieces", F.lit(1))
-
-    cut = many.join(hot, key, "left").withColumn("_piece", F.pmod(row_hash, pieces).cast("int"))
-    repeated = few.join(hot, key, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    return cut.drop("_pieces").join(repeated.drop("_pieces"), [key, "_piece"], "inner").drop("_piece")
-
-
 def argmax_rows(df: DataFrame, value: str, ties: str = "all", tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """A2+J3: the rows whose ``value`` is the greatest of all. NULL never matches.
 

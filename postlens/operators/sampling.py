@@ -6,22 +6,20 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from postlens.session import pin_down
 
-# Offsets drawn by the feed are 0 to 11000, both included; its seed.
-LAST_OFFSET = 11_000
+# The last offset that the feed draws, for its own tables, and its seed.
+FEED_LAST_OFFSET = 11_000
 SEED = 100
 
-# Below this offset a per-task top-n is cheaper than numbering the table.
-SMALL_OFFSET = 1_000
-
 # monotonically_increasing_id holds the partition above this many bits, the row within it below.
 ROW_BITS = 33
 
 
 def number_rows(df: DataFrame, key: str, name: str = "position") -> DataFrame:
-    """``key`` and its 0-based place in key order. ``key`` must identify a row.
+    """``key`` and its 0-based place in key order, a row for each row of ``df``; NULL keys come first.
 
     Only the key column is sorted, by a range-partitioned sort; each row gets its partition and place there, and a running
     sum over partition sizes (one row per partition) gives where each partition starts. No window runs over the whole
@@ -44,28 +42,56 @@ def number_rows(df: DataFrame, key: str, name: str = "position") -> DataFrame:
 
 
 def row_at_offset(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The row ``n`` places after the first in key order; no row past the end."""
-    if n < SMALL_OFFSET:
-        return df.orderBy(key).offset(n).limit(1)
-    wanted = number_rows(df, key).where(F.col("position") == n).select(key)
-    return df.join(F.broadcast(wanted), key, "left_semi")  # one row
+    """The row ``n`` places after the first in key order; no row past the end.
+
+    Places count rows, whatever the key holds: a NULL or repeated key has as many as it has rows, in the order of the
+    other columns. Only keys are numbered; of the rows, those with the key found are ordered.
+    """
+    placed = number_rows(df, key)
+    found = placed.where(F.col("position") == n).first()
+    if found is None:
+        return df.limit(0)
+    start = placed.where(F.col(key).eqNullSafe(F.lit(found[key]))).agg(F.min("position")).first()[0]
+    same = df.where(F.col(key).eqNullSafe(F.lit(found[key]).cast(df.schema[key].dataType)))
+    return same.orderBy(*_others(df, key)).offset(n - start).limit(1)
+
 
+def _others(df: DataFrame, key: str) -> list[str]:
+    return [f.name for f in df.schema if f.name != key and not isinstance(f.dataType, (MapType, VariantType))] or [key]
 
-def draw_offsets(spark: SparkSession, draws: int, last: int = LAST_OFFSET, seed: int = SEED) -> DataFrame:
-    """``draws`` pseudo-random offsets from 0 to ``last`` with replacement, the same whenever a task is rerun."""
+
+def draw_offsets(spark: SparkSession, draws: int, last: int, seed: int = SEED) -> DataFrame:
+    """``draws`` pseudo-random offsets from 0 to ``last`` with replacement, the same whenever a task is rerun.
+
+    ``last`` is the last place of the table drawn from; its row count less one reaches every row.
+    """
     offset = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(last + 1))
     return spark.range(draws).select(F.col("id").alias("draw"), offset.alias("offset"))
 
 
-def rows_at_offsets(draws: DataFrame, table: DataFrame, key: str, offset: str = "offset") -> DataFrame:
+def rows_at_offsets(
+    draws: DataFrame, table: DataFrame, key: str, offset: str = "offset", prefix: str = ""
+) -> DataFrame:
     """Each draw with the table's row at its offset. Repeated draws repeat the row; past the end all is NULL.
 
     Each wanted row is looked up once; the draws, which may repeat one offset any number of times, meet the result in a
-    join whose sides AQE can split.
+    join whose sides AQE can split. Rows with equal or NULL keys have their places in the order of the other columns.
+    ``prefix`` goes before the names of the table's columns, and must where draws and table share a name.
     """
+    names = {c: f"{prefix}{c}" for c in table.columns}
+    shared = {c.lower() for c in draws.columns} & {c.lower() for c in names.values()}
+    if shared:
+        raise ValueError(f"draws and table share the columns {sorted(shared)}; give a prefix")
     wanted = draws.select(F.col(offset).cast("bigint").alias("_offset")).distinct()
-    keys = number_rows(table, key, "_offset").join(wanted, "_offset", "left_semi")
-    rows = table.join(keys, key)
+    places = number_rows(table, key, "_offset")
+    first = places.groupBy(F.col(key).alias("_key")).agg(F.min("_offset").alias("_first"))
+    keys = places.join(wanted, "_offset", "left_semi")
+    keys = keys.join(first, F.col(key).eqNullSafe(F.col("_key"))).select("_key", "_offset", (F.col("_offset") - F.col("_first")).alias("_nth"))
+    held = table.join(keys.select(F.col("_key").alias("_held")).distinct(), F.col(key).eqNullSafe(F.col("_held")), "left_semi")
+    within = Window.partitionBy(key).orderBy(*_others(table, key))
+    ranked = held.withColumn("_rank", (F.row_number().over(within) - 1).cast("bigint"))
+    rows = ranked.join(keys, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_rank") == F.col("_nth")))
+    rows = rows.select("_offset", *[F.col(c).alias(n) for c, n in names.items()])
     return draws.join(rows, F.col(offset) == F.col("_offset"), "left").drop("_offset")
 
 

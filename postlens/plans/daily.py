@@ -6,7 +6,7 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,19 +19,26 @@ from postlens.sources.topics import read_topic
 
 
 def prepare(
-    spark: SparkSession, topics: Mapping[str, str], out: str, follower_mode: str = "exact"
+    spark: SparkSession,
+    topics: Mapping[str, str],
+    out: str,
+    follower_mode: str = "exact",
+    partitions: Sequence[int] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cleaned posts, places and users of the topics ``posts``, ``places`` and ``users``, stored as parquet under ``out``.
 
-    Ten reports then read a few columns each, and only the years they ask for, instead of parsing all JSON ten times.
+    Every partition of a topic is read, unless some are named. Ten reports then read a few columns each instead of parsing
+    all JSON ten times; a report by year skips what is outside its years, as files are sorted by the column they filter.
     The tables are not bucketed by key: one hot key would fill one bucket, and so one task of every report.
     """
     cleaned = {
-        "posts": clean_posts(read_topic(spark, topics["posts"], POSTS_JSON), follower_mode),
-        "places": clean_places(read_topic(spark, topics["places"], PLACES_JSON)),
-        "users": clean_users(read_topic(spark, topics["users"], USERS_JSON)),
+        "posts": clean_posts(read_topic(spark, topics["posts"], POSTS_JSON, partitions), follower_mode),
+        "places": clean_places(read_topic(spark, topics["places"], PLACES_JSON, partitions)),
+        "users": clean_users(read_topic(spark, topics["users"], USERS_JSON, partitions)),
     }
+    by_time = {"posts": [], "places": ["timestamp"], "users": ["date_joined"]}
     for name, df in cleaned.items():
+        df = df.sortWithinPartitions(*by_time[name]) if by_time[name] else df
         df.write.mode("overwrite").parquet(f"{out}/{name}")
     posts, places, users = (read_table_at(spark, f"{out}/{name}") for name in cleaned)
     return posts, places, users
@@ -53,9 +60,15 @@ def reports(posts: DataFrame, places: DataFrame, users: DataFrame) -> dict[str,
     }
 
 
-def run(spark: SparkSession, topics: Mapping[str, str], out: str, follower_mode: str = "exact") -> None:
+def run(
+    spark: SparkSession,
+    topics: Mapping[str, str],
+    out: str,
+    follower_mode: str = "exact",
+    partitions: Sequence[int] | None = None,
+) -> None:
     """Clean, then write each report to ``<out>/reports/<name>``."""
-    frames = prepare(spark, topics, f"{out}/clean", follower_mode)
+    frames = prepare(spark, topics, f"{out}/clean", follower_mode, partitions)
     for name, df in reports(*frames).items():
         df.write.mode("overwrite").parquet(f"{out}/reports/{name}")
 
@@ -65,9 +78,10 @@ def main() -> None:
     parser.add_argument("--topics", required=True, help="folder that holds the topics posts, places and users")
     parser.add_argument("--out", required=True, help="shared folder for cleaned tables and reports")
     parser.add_argument("--follower-mode", default="exact", choices=["exact", "suffix", "none"])
+    parser.add_argument("--partitions", type=int, nargs="+", help="topic partitions to read; all if left out")
     args = parser.parse_args()
     topics = {name: f"{args.topics}/{name}" for name in ("posts", "places", "users")}
-    run(build_session("postlens-daily"), topics, args.out, args.follower_mode)
+    run(build_session("postlens-daily"), topics, args.out, args.follower_mode, args.partitions)
 
 
 if __name__ == "__main__":

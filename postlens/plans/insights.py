@@ -15,7 +15,7 @@ from pyspark.sql.types import StringType
 
 from postlens.functions.text import lenient_number
 from postlens.functions.values import AGE_BANDS, band, in_years, year_of
-from postlens.operators.joins import argmax_rows, spread_join, tally
+from postlens.operators.joins import argmax_rows, tally
 from postlens.operators.rollups import (
     counts_by,
     exact_median_by,
@@ -87,7 +87,7 @@ def median_followers_by_age_band_and_count(
     """Q8 with the follower count as a second key: the median of equal values is the value, so this is the key again."""
     followers = posts.select("ind", "follower_count").distinct()
     groups = _banded(users, bands).select("ind", "age_group").distinct().join(places.select("ind").distinct(), "ind")
-    pairs = spread_join(followers, groups, "ind").select("age_group", "follower_count").distinct()
+    pairs = followers.join(groups.hint("rebalance"), "ind").select("age_group", "follower_count").distinct()
     return pairs.withColumn("median_follower_count", F.col("follower_count"))
 
 
@@ -143,7 +143,8 @@ def _category_counts(posts: DataFrame, weights: DataFrame, groups: Sequence[str]
 def _median_followers(posts: DataFrame, places: DataFrame, users: DataFrame, groups: list[str]) -> DataFrame:
     """Lower median of the follower counts per group over the three sets joined; the groups are bands and years."""
     per_post = tally(posts, "ind", "follower_count", name="_posts")
-    rows = spread_join(per_post, _user_weights(users, places, groups), "ind")
+    # AQE splits a hot key only if both sides come from a shuffle; the weights, joined by the same key, would not
+    rows = per_post.join(_user_weights(users, places, groups).hint("rebalance"), "ind")
     times = F.col("_posts").cast("decimal(20,0)") * F.col("_times")
     weighted = rows.select(*groups, "follower_count", times.cast("decimal(38,0)").alias("_weight"))
     return exact_median_by(

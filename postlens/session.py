@@ -31,11 +31,14 @@ def build_session(app: str = "postlens", master: str | None = None, **extra: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent, as in local tests, a temporary folder takes its place.
+    Where the setting is absent, a temporary folder takes its place under a local master; elsewhere that is an error, as
+    executors would not see the driver's folder.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="postlens-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)

@@ -13,10 +13,10 @@ def read_topic(
     spark: SparkSession,
     root: str,
     schema: StructType | None = None,
-    partitions: Sequence[int] | None = (0,),
+    partitions: Sequence[int] | None = None,
     pattern: str = "*.json",
 ) -> DataFrame:
-    """S1+S2: the JSON records of a topic's ``partitions`` (None: all), in files named like ``pattern``.
+    """S1+S2: the JSON records of a topic, or of some of its ``partitions``, in files named like ``pattern``.
 
     The root is read and filtered on its partition column, so unwanted folders are not even opened. Without ``schema`` the
     records' types are inferred, which reads the files twice.

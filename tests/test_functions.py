@@ -42,22 +42,28 @@ def test_swap_token(spark):
 
 
 def test_expand_suffix(spark):
-    assert applied(spark, ["k", "12k", "12kk", "k1", None], text.expand_suffix) == ["000", "12000", "12k000", "k1", None]
+    assert applied(
+        spark, ["k", "12k", "12kk", "k1", None, "1.5k", "3K", "2M", "0.5m", "x2k"], text.expand_suffix
+    ) == ["000", "12000", "12kk", "k1", None, "1500", "3000", "2000000", "500000", "x2k"]
 
 
 def test_lenient_int(spark):
     items = ["000", " 57 ", "1.5", "3000000000", "12k", "-7", "", None]
-    assert applied(spark, items, text.lenient_int) == [0, 57, None, None, None, -7, None, None]
+    assert applied(spark, items, text.lenient_int) == [0, 57, 1, None, None, -7, None, None]
 
 
 @pytest.mark.parametrize("kind", ["int", "bigint", "double"])
 def test_lenient_number_is_the_cast(spark, kind):
-    """The pattern asked before the cast lets through all the cast takes."""
+    """The pattern asked before the cast lets through all that the cast outside ANSI mode takes."""
     items = ["7", "+7", "-07", " 7 ", "\t7\n", "\x007\x7f", "7 7", "7.", ".7", "7.0", "7e2", "1e400", "-", "+", "", " "]
     items += ["k", "7k", "NaN", "nan", "inf", "-Infinity", "+inf", "infinity", "0x1F", "7d", "7f", "７", "\u00a07"]
     items += [str(sign * (2**bits + step)) for bits in (31, 63, 64) for step in (-1, 0, 1) for sign in (1, -1)]
     items += ["0" * 30 + "12", "-" + "0" * 30 + "12", "9" * 25, None]
-    plain = applied(spark, items, lambda c: c.try_cast(kind))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        plain = applied(spark, items, lambda c: c.cast(kind))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
     assert repr(applied(spark, items, lambda c: text.lenient_number(c, kind))) == repr(plain)
 
 

@@ -121,34 +121,6 @@ def test_repeated_keys_multiply(spark):
     assert joins.join_users(users, joins.join_places(posts, places)).count() == 8
 
 
-@pytest.mark.parametrize("hot_keys", [1, 100])
-def test_spread_join_is_the_plain_join(spark, hot_keys):
-    many = spark.range(6_000).select(
-        F.when(F.col("id") < 2_000, 0).when(F.col("id") < 3_000, 1).otherwise(F.col("id") % 50).alias("k"), F.col("id")
-    )
-    few = spark.createDataFrame([(k, f"{k}-{i}") for k in (*range(60), None) for i in range(3)], "k long, name string")
-    spread = joins.spread_join(many, few, "k", hot_keys, least_rows=300)
-    plain = many.join(few, "k")
-    assert spread.columns == plain.columns
-    assert spread.count() == plain.count()
-    assert spread.exceptAll(plain).isEmpty()
-
-
-def test_spread_join_cuts_the_hot_key(spark):
-    many = spark.range(8_000).select(F.lit(7).alias("k"), F.col("id"))
-    few = spark.createDataFrame([(7, "x")], "k int, name string")
-    spread = joins.spread_join(many, few, "k", least_rows=1_000)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        tasks = joins.spread_join(many, few, "k", least_rows=1_000).groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(tasks) > 1
-    assert spread.count() == 8_000
-
-
 def test_number_rows(spark):
     keys = [k * 37 % 1_009 for k in range(1_000)]
     df = spark.createDataFrame([(k,) for k in keys], "k int").repartition(5)
@@ -157,12 +129,28 @@ def test_number_rows(spark):
 
 
 @pytest.mark.parametrize("n", [0, 7, 24, 25, 70])
-def test_row_at_offset_both_ways(spark, monkeypatch, n):
+def test_row_at_offset(spark, n):
     df = spark.range(25).select((F.col("id") * 3).alias("k"), F.lit("x").alias("v"))
     wanted = [(n * 3, "x")] if n < 25 else []
     assert sampling.row_at_offset(df, "k", n).collect() == wanted
-    monkeypatch.setattr(sampling, "SMALL_OFFSET", 0)
-    assert sampling.row_at_offset(df, "k", n).collect() == wanted
+
+
+@pytest.mark.parametrize("n", [999, 1_000, 1_400, 1_499, 1_500, 4_000])
+def test_row_at_offset_counts_null_and_repeated_keys(spark, n):
+    rows = [(None, i) for i in range(1_500)] + [(i // 2, i) for i in range(2_000)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(7)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sampling.row_at_offset(df, "k", n).collect() == ordered[n : n + 1]
+
+
+def test_rows_at_offsets_with_repeated_keys_and_a_shared_name(spark):
+    rows = [(None, 1), (None, 2), (3, 1), (3, 2), (3, 2), (9, 0)]
+    table = spark.createDataFrame(rows, "ind int, v int")
+    draws = spark.createDataFrame([(i, i) for i in range(7)], "ind int, offset int")
+    with pytest.raises(ValueError, match="ind"):
+        sampling.rows_at_offsets(draws, table, "ind")
+    got = sampling.rows_at_offsets(draws, table, "ind", prefix="row_").orderBy("offset").collect()
+    assert [(r.row_ind, r.row_v) for r in got] == [*rows, (None, None)]
 
 
 def test_rows_at_offsets(spark):
@@ -183,7 +171,7 @@ def test_aligned_rows_share_their_draws(spark):
 
 
 def test_draws_stay_in_range_and_repeat(spark):
-    draws = sampling.draw_offsets(spark, 5_000)
+    draws = sampling.draw_offsets(spark, 5_000, sampling.FEED_LAST_OFFSET)
     low, high, kinds = draws.agg(F.min("offset"), F.max("offset"), F.countDistinct("offset")).first()
     assert 0 <= low < 100 and 10_900 < high <= 11_000 and 3_000 < kinds < 5_000
-    assert draws.exceptAll(sampling.draw_offsets(spark, 5_000).repartition(3)).isEmpty()
+    assert draws.exceptAll(sampling.draw_offsets(spark, 5_000, sampling.FEED_LAST_OFFSET).repartition(3)).isEmpty()

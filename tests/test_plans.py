@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from postlens.operators import joins
+from postlens.plans import insights
 
 
 def executed(df):
@@ -67,19 +68,30 @@ def test_median_of_a_table_combines_before_it_shuffles(spark, name):
     assert all("partial_sum" in part or "HashAggregate" in part or "Sort" in part for part in below_exchanges)
 
 
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_spread_join_counts_its_side_once(spark, threshold):
-    """With broadcast and with sort-merge joins, where there are hot keys."""
-    posts, places, _ = contract.social(spark, oracle.SF_DIR)
-    per_post = joins.tally(posts, "ind", "follower_count", name="_posts")
-    joined = joins.spread_join(per_post, joins.tally(places, "ind", name="_places"), "ind", least_rows=10)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+@pytest.mark.parametrize("forced", ["true", "false"])
+def test_a_hot_key_of_a_joined_median_is_split(spark, forced):
+    posts = spark.range(60_000).selectExpr("if(id < 40000, 0, id % 500) AS ind", "CAST(id AS INT) AS follower_count")
+    places = spark.range(500).selectExpr("id AS ind", "'x' AS country")
+    users = spark.range(500).selectExpr("id AS ind", "CAST(20 AS INT) AS age")
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": forced,
+    }
+    before = {name: spark.conf.get(name, None) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
     try:
-        plan = executed(joined)
+        plan = executed(insights.median_followers_by_age_band_and_count(posts, places, users))
+        plan += executed(insights.median_followers_by_age_band(posts, places, users))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("FileScan parquet [user_id") == 1
-    assert plan.count("ReusedExchange") >= 2
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert plan.count("isFinalPlan=true") == 2
+    assert all("skew=true" in part for part in plan.split("isFinalPlan=true")[1:])
 
 
 @pytest.mark.parametrize("name", ["median_followers_by_age_band", "median_followers_by_band_and_join_year"])
