@@ -462,7 +462,7 @@ def json_topic_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     part = F.when(F.col("event_type") == "error", 1).otherwise(0)
     events.withColumn("partition", part).write.partitionBy("partition").json(root)
-    return read_topic(spark, root, events.schema)
+    return read_topic(spark, root, events.schema, partitions=[0])
 
 
 def envelope_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
