@@ -35,8 +35,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with languages at their target weights, sources and topics tempered."""
-    return keep_mixed(docs, MIX_TARGETS)
+    """A sample with languages at their target weights, sources and topics tempered, as large as these allow."""
+    return keep_mixed(docs, MIX_TARGETS, lower_total=True)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

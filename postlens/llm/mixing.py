@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,11 @@ TOPIC_PATTERNS = {
 }
 TEMPERATURE = 0.7  # targets are the observed token shares to this power, which lifts small categories
 KEPT_SHARE = 0.6  # of all tokens, what the sample is to hold
-SWEEPS = 15
-TOLERANCE = 1e-5
-SCALES = 48  # sample scales tried at once
-REFINEMENTS = 4
+SWEEPS = 400  # over arrays of cells
+TOLERANCE = 1e-5  # of a margin, relative
+HELD = 1e-4  # of all tokens, the residual with which targets count as held
+HALVINGS = 12  # in the search for the largest sample that the targets allow
+ASKED_AT_MOST = 1e9  # times its tokens; keeps what a full cell is asked for finite
 
 Targets = dict[str, dict[str | None, float]]
 
@@ -53,82 +56,114 @@ def tokened(docs: DataFrame) -> DataFrame:
     )
 
 
-def _share_key(dim: str) -> Column:
-    return F.coalesce(F.concat(F.lit("="), F.col(dim)), F.lit("none"))
-
-
-def target_shares(cells: DataFrame, targets: Targets | None, temperature: float) -> dict[str, DataFrame]:
-    """Per dimension a table of its categories' ``key`` and ``target`` share, adding up to 1 over those with tokens.
+def share_targets(tokens: np.ndarray, names: list, given: dict[str | None, float] | None, temperature: float) -> np.ndarray:
+    """The target share of each category of a dimension, adding up to 1 over those with tokens.
 
     Given targets hold as weights; a category they don't name gets none. Without any given, shares are tempered.
     """
-    spark, out = cells.sparkSession, {}
-    for dim in DIMENSIONS:
-        seen = cells.groupBy(_share_key(dim).alias("key")).agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
-        if targets and dim in targets:
-            rows = [("none" if k is None else f"={k}", float(w)) for k, w in targets[dim].items() if w > 0]
-            wanted = spark.createDataFrame(rows, "key string, weight double")
-            seen = seen.join(wanted, "key")
-        else:
-            seen = seen.withColumn("weight", F.pow(F.col("tokens").cast("double"), F.lit(temperature)))
-        seen = settle(seen.select("key", "weight"), "targets")
-        whole = seen.agg(F.sum("weight")).first()[0] or 1.0
-        out[dim] = seen.select("key", (F.col("weight") / whole).alias("target"))
-    return out
+    weights = tokens.astype(float) ** temperature
+    if given is not None:
+        weights = np.array([max(0.0, float(given.get(name, 0.0))) for name in names])
+    weights = np.where(tokens > 0, weights, 0.0)
+    return weights / (weights.sum() or 1.0)
 
 
-def rake(cells: DataFrame, shares: dict[str, DataFrame]) -> DataFrame:
-    """Adds ``weight`` to the cells: each one's share of tokens in the fitted mix.
+def rake(
+    tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray], wanted: float, sweeps: int = SWEEPS
+) -> tuple[np.ndarray, bool]:
+    """How many tokens of each cell a sample of ``wanted`` tokens holds, and whether all margins hold to ``TOLERANCE``.
 
-    In turn every dimension's weights are scaled to its targets, until all margins hold at once to ``TOLERANCE`` or
-    ``SWEEPS`` are done. Cells and margins are tables, written after each sweep; a cell whose category has no target gets
-    no weight.
+    In turn every dimension's categories are scaled to their targets, whereby a cell gives its tokens at most: what a full
+    cell lacks is asked of the others of its category in the next sweep. A category is never scaled beyond its target, so
+    sweeps close in on it from below. Margins are compared after a sweep, all at once.
     """
-    total = cells.agg(F.sum("tokens")).first()[0] or 1
-    now = cells.withColumn("weight", F.col("tokens") / float(total))
-    for _ in range(SWEEPS):
-        off = None
-        for dim in DIMENSIONS:
-            keyed = now.withColumn("its_key", _share_key(dim))
-            margin = keyed.groupBy("its_key").agg(F.sum("weight").alias("margin"))
-            scale = margin.join(shares[dim], F.col("its_key") == F.col("key"), "left").select(
-                F.col("its_key").alias("key"),
-                F.when(F.col("margin") > 0, F.coalesce("target", F.lit(0.0)) / F.col("margin")).otherwise(0.0).alias("scale"),
-            )
-            now = keyed.join(scale, F.col("its_key") == F.col("key")).withColumn("weight", F.col("weight") * F.col("scale"))
-            moved = F.abs(F.col("scale") - 1) * (F.col("weight") > 0).cast("double")
-            off = moved if off is None else F.greatest(F.col("off"), moved)
-            now = now.withColumn("off", off).drop("its_key", "key", "scale")
-        now = settle(now, "raked")
-        worst = now.agg(F.max("off")).first()[0]
-        now = now.drop("off")
-        if worst is None or worst < TOLERANCE:
-            break
-    # sums of doubles differ in their last digits from run to run
-    return now.withColumn("weight", F.round("weight", 12))
-
-
-def sample_scale(cells: DataFrame, wanted: float) -> float:
-    """The factor by which weights turn into tokens, so that the sample holds ``wanted`` of them, cells in full at most.
-
-    What a factor gives rises with it; a grid of factors is summed in one pass over the cells, then a finer one.
+    asked = tokens.astype(float)
+    goals = [share * wanted for share in shares]
+    for _ in range(sweeps):
+        for code, goal in zip(codes, goals, strict=True):
+            margin = np.bincount(code, np.minimum(tokens, asked), minlength=len(goal))
+            scale = np.divide(goal, margin, out=np.zeros(len(goal)), where=margin > 0)
+            asked = np.minimum(asked * scale[code], tokens * ASKED_AT_MOST)
+        kept = np.minimum(tokens, asked)
+        if all(
+            (np.abs(np.bincount(code, kept, minlength=len(goal)) - goal) <= TOLERANCE * goal).all()
+            for code, goal in zip(codes, goals, strict=True)
+        ):
+            return kept, True
+    return np.minimum(tokens, asked), False
+
+
+def fitted(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray], wanted: float) -> tuple[np.ndarray, bool]:
+    """The raked sample of ``wanted`` tokens or, where the targets allow no sample so large, of nearly the most they allow.
+
+    No sample holds more than each category's tokens over its target share; below that the largest is searched by halves.
+    Where the targets contradict each other at any size, the sample comes near them and the second value is false.
     """
-    fine = cells.where("weight > 0")
-    ends = fine.agg(F.min(F.col("tokens") / F.col("weight")), F.max(F.col("tokens") / F.col("weight"))).first()
-    if ends[0] is None:
-        return 0.0
-    low, high = float(ends[0]) * min(1.0, wanted), float(ends[1])
-    low = min(low, wanted)
-    for _ in range(REFINEMENTS):
-        grid = [low + (high - low) * i / (SCALES - 1) for i in range(SCALES)]
-        sums = fine.agg(*[F.sum(F.least(F.col("tokens"), F.col("weight") * g)).alias(f"s{i}") for i, g in enumerate(grid)])
-        got = list(sums.first())
-        under = [g for g, s in zip(grid, got, strict=True) if s < wanted]
-        over = [g for g, s in zip(grid, got, strict=True) if s >= wanted]
-        if not over:
-            return high
-        low, high = (under[-1] if under else grid[0]), over[0]
-    return high
+    room = [np.bincount(code, tokens, minlength=len(share)) for code, share in zip(codes, shares, strict=True)]
+    most = min([wanted] + [float((r[s > 0] / s[s > 0]).min()) for r, s in zip(room, shares, strict=True) if (s > 0).any()])
+    kept, held = rake(tokens, codes, shares, most)
+    if held:
+        return kept, True
+    best, low, high = None, 0.0, most
+    for _ in range(HALVINGS):
+        size = (low + high) / 2
+        kept, held = rake(tokens, codes, shares, size)
+        if held:
+            best, low = kept, size
+        else:
+            high = size
+    return (best, True) if best is not None else (rake(tokens, codes, shares, wanted)[0], False)
+
+
+def raised(tokens: np.ndarray, kept: np.ndarray, wanted: float) -> np.ndarray:
+    """``kept`` times the one factor with which the sample holds ``wanted`` tokens, cells in full at most."""
+    positive = kept > 0
+    if not positive.any() or tokens[positive].sum() <= wanted:
+        return np.where(positive, tokens, 0.0)
+    full_at = tokens[positive] / kept[positive]
+    order = np.argsort(full_at, kind="stable")
+    in_full = np.concatenate([[0.0], np.cumsum(tokens[positive][order])[:-1]])
+    open_still = np.cumsum(kept[positive][order][::-1])[::-1]
+    holds = in_full + open_still * full_at[order]  # tokens of the sample when a cell gets full
+    i = int(np.searchsorted(holds, wanted))
+    factor = (wanted - in_full[i]) / open_still[i]
+    return np.minimum(tokens, kept * factor)
+
+
+def priced_cells(
+    cells: DataFrame, targets: Targets | None, kept_share: float, temperature: float, lower_total: bool
+) -> DataFrame:
+    """The cells with ``weight``, ``probability``, and in each row the sample's ``sample_share``, ``residual``, ``held``.
+
+    The cells are fitted on the driver, as a few arrays; their number is that of the combinations of categories met, not of
+    documents.
+    """
+    table = cells.orderBy(*DIMENSIONS).toArrow()
+    tokens = table["tokens"].to_numpy().astype(float)
+    codes, shares = [], []
+    for dim in DIMENSIONS:
+        coded = table[dim].combine_chunks().dictionary_encode("encode")
+        codes.append(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
+        names = coded.dictionary.to_pylist()
+        sums = np.bincount(codes[-1], tokens, minlength=len(names))
+        shares.append(share_targets(sums, names, (targets or {}).get(dim), temperature))
+    total = tokens.sum()
+    kept, held = fitted(tokens, codes, shares, kept_share * total)
+    weight = kept / (kept.sum() or 1.0)
+    if not lower_total:
+        kept = raised(tokens, kept, kept_share * total)
+    chance = np.round(np.divide(kept, tokens, out=np.ones(len(tokens)), where=tokens > 0), 9)
+    sample = tokens * chance
+    whole = sample.sum() or 1.0
+    off = [np.abs(np.bincount(code, sample, minlength=len(s)) / whole - s) for code, s in zip(codes, shares, strict=True)]
+    residual = max((float(x.max()) for x in off if len(x)), default=0.0)
+    facts = [sample.sum() / (total or 1.0), residual, held and residual <= HELD]
+    made = {"weight": np.round(weight, 12), "probability": chance}
+    made |= {k: np.full(len(tokens), v) for k, v in zip(("sample_share", "residual", "held"), facts, strict=True)}
+    names = {f"c_{d}": table[d] for d in DIMENSIONS}
+    schema = ", ".join(f"c_{d} string" for d in DIMENSIONS)
+    schema += ", weight double, probability double, sample_share double, residual double, held boolean"
+    return settle(cells.sparkSession.createDataFrame(pa.table(names | made), schema), "priced")
 
 
 def mix(
@@ -136,25 +171,26 @@ def mix(
     targets: Targets | None = None,
     kept_share: float = KEPT_SHARE,
     temperature: float = TEMPERATURE,
+    lower_total: bool = False,
 ) -> DataFrame:
     """Each document's cell, its calibrated ``probability`` and whether it is ``kept`` in the sample.
 
-    Token weights per source, language and topic are raked to the target shares of the three dimensions. A cell's
-    documents are kept with probability ``min(1, factor * weight / tokens)``, with one factor for all, such that the
-    sample is expected to hold ``kept_share`` of all tokens. A null source or language is a category of its own; a
-    document without tokens is kept if its cell is. Repeated rows are drawn alike; an empty table gives no rows; columns
-    besides ``doc_id``, ``text``, ``source`` and ``lang`` are not read. What comes to the driver is one row of sums at a
-    time; the documents meet their cells in a join, whose hot cells the engine may split.
+    The sample's tokens per source, language and topic are raked to the target shares of the three dimensions; a cell's
+    documents are kept with the probability that gives its part of them. Asked for is ``kept_share`` of all tokens. Where
+    the targets allow less, as a scarce category has too few tokens, ``lower_total`` says what gives way: the total, so
+    that the targets hold; or else the targets, all cells being raised by one factor until ``kept_share`` is reached.
+    ``cell_weight`` is the cell's share of the fitted sample before it is raised. Every row states the sample's expected
+    share of all tokens (``sample_share``), the largest difference of a category's expected share from its target
+    (``residual``), and whether the fit converged and its targets hold to ``HELD`` (``targets_held``).
+
+    A null source or language is a category of its own; a document without tokens is kept if its cell is. Repeated rows
+    are drawn alike; an empty table gives no rows; columns besides ``doc_id``, ``text``, ``source`` and ``lang`` are not
+    read. What comes to the driver is a row per cell; the documents meet their cells in a join, whose hot cells the
+    engine may split.
     """
     rows = tokened(docs)
-    cells = settle(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents")), "cells")
-    raked = rake(cells, target_shares(cells, targets, temperature))
-    raked = settle(raked, "weights")
-    factor = sample_scale(raked, kept_share * (raked.agg(F.sum("tokens")).first()[0] or 0))
-    chance = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") * factor / F.col("tokens"))).otherwise(1.0)
-    priced = raked.select(
-        *[F.col(d).alias(f"c_{d}") for d in DIMENSIONS], "weight", F.round(chance, 9).alias("probability")
-    )
+    cells = settle(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    priced = priced_cells(cells, targets, kept_share, temperature, lower_total)
     same = [F.col(d).eqNullSafe(F.col(f"c_{d}")) for d in DIMENSIONS]
     joined = rows.join(priced, same[0] & same[1] & same[2])
     return joined.select(
@@ -164,14 +200,19 @@ def mix(
         F.col("weight").alias("cell_weight"),
         "probability",
         (F.col("draw") < F.col("probability")).alias("kept"),
+        "sample_share",
+        "residual",
+        F.col("held").alias("targets_held"),
         "digest",
     )
 
 
-def keep_mixed(docs: DataFrame, targets: Targets | None = None, kept_share: float = KEPT_SHARE) -> DataFrame:
+def keep_mixed(
+    docs: DataFrame, targets: Targets | None = None, kept_share: float = KEPT_SHARE, lower_total: bool = False
+) -> DataFrame:
     """The documents that ``mix`` keeps, with all their columns."""
     id_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-    kept = mix(docs, targets, kept_share).where("kept").select(id_key("doc_id").alias("id"), "digest").distinct()
+    kept = mix(docs, targets, kept_share, lower_total=lower_total).where("kept").select(id_key("doc_id").alias("id"), "digest").distinct()
     own = [F.col(c) for c in docs.columns]
     keyed = docs.select(F.struct(*own).alias("row"), id_key("doc_id").alias("id"), F.md5(whole_text()).alias("digest"))
     return keyed.join(kept, ["id", "digest"], "left_semi").select("row.*")

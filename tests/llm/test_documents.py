@@ -196,3 +196,35 @@ def test_raking_meets_its_margins(docs, edge_docs):
     assert abs(sum(r.n_tokens * r.probability for r in rows) / tokens - mixing.KEPT_SHARE) < 0.01
     assert mixing.mix(edge_docs).count() == 13
     assert mixing.keep_mixed(docs, targets).count() == sum(r.kept for r in rows)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_the_sample_holds_its_targets(spark, hot):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    if hot:
+        docs = docs.withColumn("source", F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, "hot").otherwise(F.col("source")))
+    lang = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
+    rows = mixing.mix(docs, {"lang": lang}, lower_total=True).collect()
+    total, sampled = sum(r.n_tokens for r in rows), sum(r.n_tokens * r.probability for r in rows)
+    for dim in mixing.DIMENSIONS:
+        had, got = {}, {}
+        for r in rows:
+            had[r[dim]] = had.get(r[dim], 0) + r.n_tokens
+            got[r[dim]] = got.get(r[dim], 0) + r.n_tokens * r.probability / sampled
+        tempered = {k: n**mixing.TEMPERATURE for k, n in had.items()}
+        wanted = lang if dim == "lang" else {k: n / sum(tempered.values()) for k, n in tempered.items()}
+        assert max(abs(got[k] - wanted[k]) for k in had) < 1e-3, dim
+    assert all(r.targets_held and r.residual < 1e-3 for r in rows)
+    assert abs(rows[0].sample_share - sampled / total) < 1e-6 and 0.2 < rows[0].sample_share <= mixing.KEPT_SHARE
+
+
+def test_a_fit_under_full_cells():
+    codes = [np.array([0, 0, 1, 1]), np.array([0, 1, 0, 1])]
+    tokens, even = np.array([10.0, 90.0, 60.0, 40.0]), np.array([0.5, 0.5])
+    kept, held = mixing.fitted(tokens, codes, [even, even], 120.0)
+    assert held and kept[0] == 10 and np.allclose(kept, [10, 50, 50, 10], rtol=1e-4)
+    kept, held = mixing.fitted(tokens, codes, [even, even], 180.0)  # 140 is the most: the two mixed cells are equal, and one has 60
+    assert held and abs(kept.sum() - 140) < 0.1
+    assert np.isclose(mixing.raised(tokens, kept, 180.0).sum(), 180)
+    lone = [np.array([0, 1]), np.array([0, 1])]  # one cell a category: the two targets contradict each other
+    assert not mixing.fitted(np.array([50.0, 50.0]), lone, [even, np.array([0.8, 0.2])], 60.0)[1]
