@@ -1,4 +1,4 @@
-"""Near-duplicate classes by Order MinHash, verified by banded alignment."""
+"""Near-duplicate classes by Order MinHash, short texts by their rarest shingles, verified by banded alignment."""
 
 from __future__ import annotations
 
@@ -16,6 +16,8 @@ WORDS = 5  # of a shingle
 SIMILAR = (4, 9)  # aligned shingles to both texts' shingles: m / (a + b - m) >= 0.8 is m / (a + b) >= 4 / 9
 SKETCHES = 36
 MINIMA = 5  # shingles in a sketch
+SHORT = 28  # shingles up to which a text finds its like by single shingles, without a miss
+SHORT_PARTNER = 35  # shingles that a text can have which is like a short one: 1.25 times as many
 CELLS_AT_ONCE = 1 << 21
 ROUNDS, CENTRAL_ROUNDS = 4, 2  # of comparisons with leaders, before what is left is compared pair by pair
 LABEL, PLACE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -56,7 +58,8 @@ def sketches(shingles: np.ndarray) -> np.ndarray:
     """Per sketch one key: the ``MINIMA`` shingles least under its hash, in the order of the text.
 
     Two texts share a key if the same shingles are least in both and stand in the same order, so a sketch is sensitive to
-    the order of words. At a similarity of 0.8 a sketch agrees with probability 0.8 ** 5, one of 36 all but surely.
+    the order of words. At a similarity of 0.8 a sketch of long texts agrees with probability 0.8 ** 5, one of 36 all but
+    surely. Minima are drawn without replacement, so texts of few shingles agree less often; see ``rarest_shingles``.
     """
     n = len(shingles)
     if not n:
@@ -123,7 +126,11 @@ def _id_key(column: str = "doc_id") -> Column:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """A row per document, settled: ``doc_id``, ``node`` (digest of the text), its count of shingles and its keys."""
+    """A row per document, settled: ``doc_id``, ``node`` (digest of the text), its count of shingles and its keys.
+
+    A short text has no sketches, as ``rarest_shingles`` finds all that is like it. For that ``few`` holds the shingles of
+    texts of up to ``SHORT_PARTNER``.
+    """
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -135,28 +142,45 @@ def sketched(docs: DataFrame) -> DataFrame:
                         "id": part["id"],
                         "node": part["node"],
                         "shingles": [len(x) for x in found],
-                        "keys": [sketches(x) for x in found],
+                        "keys": [sketches(x if len(x) > SHORT else x[:0]) for x in found],
+                        "few": [(x if len(x) <= SHORT_PARTNER else x[:0]).view(np.int64) for x in found],
                     }
                 )
 
     rows = docs.select(
         F.col("doc_id").cast("string").alias("id"), F.md5(whole_text()).alias("node"), whole_text().alias("text")
     )
-    out = rows.mapInPandas(sketch, "id string, node string, shingles int, keys array<long>")
-    return settle(out.select(F.col("id").cast("long").alias("doc_id"), "node", "shingles", "keys"), "sketches")
+    out = rows.mapInPandas(sketch, "id string, node string, shingles int, keys array<long>, few array<long>")
+    return settle(out.select(F.col("id").cast("long").alias("doc_id"), "node", "shingles", "keys", "few"), "sketches")
 
 
 def distinct_nodes(rows: DataFrame) -> DataFrame:
-    """One row per distinct text: a number ``num``, its least ``doc_id``, how often it occurs, and its keys."""
-    once = rows.groupBy("node").agg(
-        F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("shingles").alias("shingles"), F.first("keys").alias("keys")
-    )
+    """One row per distinct text: a number ``num``, its least ``doc_id``, how often it occurs, its keys and few shingles."""
+    same = [F.first(c).alias(c) for c in ("shingles", "keys", "few")]
+    once = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), *same)
     return settle(once.withColumn("num", F.monotonically_increasing_id()), "nodes")
 
 
+def rarest_shingles(nodes: DataFrame) -> DataFrame:
+    """``num``, ``shingles`` and as ``key`` each of the rarest shingles of the texts of up to ``SHORT_PARTNER``.
+
+    Texts that are similar share at least 0.8 of either one's shingles. With all shingles in one order, the first that both
+    have is then among the first fifth, and one more, of each: so the keys miss no pair of such texts. The order is that of
+    rarity in these texts, by which a common line is a key only of texts that hardly have another shingle.
+    """
+    said = nodes.where(F.size("few") > 0).select("num", "shingles", F.explode("few").alias("shingle"))
+    common = said.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
+    common = common.withColumnRenamed("shingle", "its_shingle")
+    counted = said.join(common, F.col("shingle") == F.col("its_shingle"), "left")
+    rarity = F.struct(F.coalesce("texts", F.lit(1)).alias("texts"), "shingle")
+    ordered = counted.groupBy("num", "shingles").agg(F.array_sort(F.collect_list(rarity)).alias("ordered"))
+    first = F.slice("ordered", F.lit(1), (F.floor(F.col("shingles") / 5) + 1).cast("int"))
+    return ordered.select("num", "shingles", F.explode(first).alias("rare")).select("num", "shingles", F.col("rare.shingle").alias("key"))
+
+
 def bucket_members(nodes: DataFrame) -> DataFrame:
     """``key``, ``num`` and ``shingles`` of the texts, for the keys that several of them share."""
-    rows = nodes.select("num", "shingles", F.explode("keys").alias("key"))
+    rows = nodes.select("num", "shingles", F.explode("keys").alias("key")).unionByName(rarest_shingles(nodes))
     shared = rows.groupBy("key").agg(F.min("num").alias("first"), F.max("num").alias("last"))
     shared = shared.where(F.col("first") < F.col("last")).select(F.col("key").alias("its_key"))
     return settle(rows.join(shared, F.col("key") == F.col("its_key")).drop("its_key"), "members")

@@ -166,6 +166,29 @@ def test_near_duplicates_are_the_components(docs, edge_docs):
     assert near_dedup.keep_one_per_class(edge_docs).columns == edge_docs.columns
 
 
+def test_short_near_duplicates_are_all_found(spark):
+    """Texts of 8 to 39 words, each with one that has a word more, or two a few words apart; all beside a common line."""
+    rng = random.Random(5)
+    texts, pairs = [], []
+    for i in range(900):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(8 + i % 32)]
+        other = [*words, "more"] if i % 3 else ["more", *words]
+        if len(words) > 15:
+            other = other[: len(other) - (len(words) - 4) // 10] if i % 2 else [*other, *"abcdefgh"[: (len(words) - 4) // 5 - 1]]
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join(words), " ".join(other)]
+    held = [near_dedup.similar(*(near_dedup.labelled_shingles(texts[i]) for i in pair)) for pair in pairs]
+    assert all(held)
+    line = "one line that very many of the texts have in common"
+    texts += [f"{line} w{i} x{i} y{i} z{i}" for i in range(300)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(table).collect()}
+    assert [got[a] for a, b in pairs] == [a for a, _ in pairs] == [got[b] for a, b in pairs]
+    assert all(got[i] == i for i in range(2 * len(pairs), len(texts)))
+    nodes = near_dedup.distinct_nodes(near_dedup.sketched(table.where(f"doc_id >= {2 * len(pairs)}")))
+    assert near_dedup.bucket_members(nodes).isEmpty()
+
+
 def test_alignment_needs_order():
     rng = random.Random(1)
     words = [f"w{i}" for i in range(300)]
