@@ -59,13 +59,18 @@ def tokened(docs: DataFrame) -> DataFrame:
 def share_targets(tokens: np.ndarray, names: list, given: dict[str | None, float] | None, temperature: float) -> np.ndarray:
     """The target share of each category of a dimension, adding up to 1 over those with tokens.
 
-    Given targets hold as weights; a category they don't name gets none. Without any given, shares are tempered.
+    Without any given, shares are tempered. Given targets hold as weights among the categories they name; one they don't
+    name, also null, keeps its tempered share, and the named ones share the rest. A weight of 0 leaves a category out.
     """
-    weights = tokens.astype(float) ** temperature
+    shares = np.where(tokens > 0, tokens.astype(float) ** temperature, 0.0)
+    shares /= shares.sum() or 1.0
     if given is not None:
-        weights = np.array([max(0.0, float(given.get(name, 0.0))) for name in names])
-    weights = np.where(tokens > 0, weights, 0.0)
-    return weights / (weights.sum() or 1.0)
+        named = np.array([name in given for name in names], dtype=bool)
+        weights = np.array([max(0.0, float(given.get(name, 0.0))) for name in names]) * (tokens > 0)
+        others = np.where(named, 0.0, shares)
+        rest = 1 - others.sum() if weights.sum() else 0.0
+        shares = others / (others.sum() or 1.0) * (1 - rest) + weights / (weights.sum() or 1.0) * rest
+    return shares
 
 
 def rake(
@@ -183,7 +188,8 @@ def mix(
     share of all tokens (``sample_share``), the largest difference of a category's expected share from its target
     (``residual``), and whether the fit converged and its targets hold to ``HELD`` (``targets_held``).
 
-    A null source or language is a category of its own; a document without tokens is kept if its cell is. Repeated rows
+    A null source or language is a category of its own; a category that given targets don't name keeps its tempered
+    share; a document without tokens is kept if its cell is. Repeated rows
     are drawn alike; an empty table gives no rows; columns besides ``doc_id``, ``text``, ``source`` and ``lang`` are not
     read. What comes to the driver is a row per cell; the documents meet their cells in a join, whose hot cells the
     engine may split.

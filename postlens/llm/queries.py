@@ -20,7 +20,7 @@ from postlens.llm.topk import exact_top_k
 from postlens.llm.url_filter import filter_urls, urls_with_names
 
 TOKENIZER = "word_bpe_49k.json"
-# Languages to given weights; sources and topics to their tempered shares.
+# Languages to given weights, others than these, sources and topics to their tempered shares.
 MIX_TARGETS = {"lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}}
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -251,3 +251,19 @@ def test_a_fit_under_full_cells():
     assert np.isclose(mixing.raised(tokens, kept, 180.0).sum(), 180)
     lone = [np.array([0, 1]), np.array([0, 1])]  # one cell a category: the two targets contradict each other
     assert not mixing.fitted(np.array([50.0, 50.0]), lone, [even, np.array([0.8, 0.2])], 60.0)[1]
+
+
+def test_languages_without_a_target_keep_their_share(spark):
+    langs = ["en", "de", "it", None]
+    rows = [(i, f"some plain words {i} " * (1 + i % 5), "only it" if langs[i % 4] == "it" else "s", langs[i % 4]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = mixing.mix(docs, {"lang": {"en": 0.75, "de": 0.25, "fr": 0.5}}, lower_total=True).collect()
+    sampled = sum(r.n_tokens * r.probability for r in got)
+    share = {k: sum(r.n_tokens * r.probability for r in got if r.lang == k) / sampled for k in langs}
+    had = {k: sum(r.n_tokens for r in got if r.lang == k) ** mixing.TEMPERATURE for k in langs}
+    assert share["it"] > 0.2 and share[None] > 0.2
+    named = 1 - (had["it"] + had[None]) / sum(had.values())
+    wanted = mixing.share_targets(np.array([5, 5, 5, 0]), ["en", "de", None, "it"], {"en": 0.75, "de": 0.25}, 1.0)
+    assert np.allclose(wanted, [0.5, 1 / 6, 1 / 3, 0])
+    assert abs(share["en"] / share["de"] - 3) < 0.1 and abs(share["en"] + share["de"] - named) < 0.05
+    assert mixing.share_targets(np.array([5, 5]), ["en", "it"], {"en": 1.0, "it": 0.0}, 1.0).tolist() == [1, 0]
