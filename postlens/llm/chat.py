@@ -22,15 +22,14 @@ def _content_hashes() -> list[Column]:
 
 
 def turns_once(conversations: DataFrame) -> DataFrame:
-    """One narrow row per conversation and turn: ``conv_id``, ``turn``, ``block`` and the content hashes ``c1``, ``c2``.
+    """One narrow row per conversation, turn and content: ``conv_id``, ``turn``, ``block`` and the hashes ``c1``, ``c2``.
 
-    Rows that repeat a turn are one turn logged again; where they differ, the one with the least hashes stands.
+    Rows that repeat a turn with its role and text are one turn logged again; those that differ are turns of their own.
     """
     one, two = _content_hashes()
-    rows = conversations.select("conv_id", "turn", F.struct(one.alias("c1"), two.alias("c2")).alias("content"))
-    once = rows.groupBy("conv_id", "turn").agg(F.min("content").alias("content"))
+    once = conversations.select("conv_id", "turn", one.alias("c1"), two.alias("c2")).distinct()
     block = F.coalesce(F.floor(F.col("turn") / TURNS_PER_BLOCK), F.lit(-1))
-    return once.select("conv_id", "turn", block.alias("block"), "content.c1", "content.c2")
+    return once.select("conv_id", "turn", block.alias("block"), "c1", "c2")
 
 
 def _before(rows: DataFrame, totals: list[Column]) -> DataFrame:
@@ -54,7 +53,7 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
     A turn is hashed with its place, and the prefix is the running exclusive-or, so it depends on the order of turns and
     can be carried from block to block. A very long conversation is thus worked on by block.
     """
-    in_block = Window.partitionBy("conv_id", "block").orderBy("turn")
+    in_block = Window.partitionBy("conv_id", "block").orderBy("turn", "c1", "c2")
     numbered = turns.withColumn("nth", F.row_number().over(in_block) - 1)
     placed = _with_before(numbered, _before(turns, [F.count("*")]))
     placed = placed.withColumn("place", F.col("nth") + F.col("earlier_turns"))
@@ -116,7 +115,8 @@ def format_chats(conversations: DataFrame) -> DataFrame:
 
     A conversation logged again and again as it grew leaves snapshots that are prefixes of one another; only those that
     are no proper prefix of another stay, and equal ones once. Turns count in the order of ``turn`` (null first), gaps are
-    allowed; rows repeating a turn count once. A null ``conv_id`` is an id like any other; a null role renders as ``user``
+    allowed; rows repeating a turn with its role and text count once, and those of one ``turn`` that differ follow one
+    another in the order of their hashes. A null ``conv_id`` is an id like any other; a null role renders as ``user``
     and a null text as empty, but both differ from those in comparison. Extra columns are not read; an empty table gives
     no rows. Rows: ``conv_id``, ``segment`` from 0, ``n_turns``, ``n_logged``, ``text``; a conversation's text is that of
     its segments in order.

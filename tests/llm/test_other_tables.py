@@ -52,6 +52,16 @@ def test_chats(spark):
     assert chat.format_chats(table.limit(0)).count() == 0
 
 
+def test_differing_rows_of_a_turn_all_stay(spark):
+    rows = [(1, 0, "user", "A"), (1, 0, "user", "A2"), (1, 1, "assistant", "B"), (1, 1, "assistant", "B2"), (1, 1, "assistant", "B2")]
+    rows += [(2, *r[1:]) for r in reversed(rows)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.format_chats(table).collect()
+    assert [(r.conv_id, r.n_turns, r.n_logged) for r in got] == [(1, 4, 2)]
+    said = [line.split("\n")[1] for line in got[0].text.split("<|im_end|>\n")[:-1]]
+    assert sorted(said[:2]) == ["A", "A2"] and sorted(said[2:]) == ["B", "B2"]
+
+
 def test_a_long_conversation_goes_over_blocks_and_segments(spark):
     turns = 2 * chat.TURNS_PER_SEGMENT + 10
     long = spark.range(turns).selectExpr("1L AS conv_id", "id AS turn", "'user' AS role", "CAST(id AS STRING) AS text")
