@@ -82,7 +82,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -
     """Every document with its shard, under the law ``bytes``: the shards' sizes come out nearly equal.
 
     A document hashes into one of ``slots`` virtual slots by id and text, so copies of a text, or rows without an id, are
-    spread. The bytes of each slot are added up, the round-robin map is rebalanced by them, and both versions are stored.
+    spread. Rows equal in both, as copies of one text that all lack an id, share one slot, one shard and one task, and are
+    not spread. The bytes of each slot are added up, the round-robin map is rebalanced by them, and both versions are stored.
     ``slot`` is the row's place in its shard, gapless from 0: the place of its virtual slot, plus its place therein.
     A null text has no bytes of its own; an empty table gives no rows. Columns besides ``doc_id`` and ``text`` are not
     read. The map has a row per slot and version, which bounds what is broadcast.
