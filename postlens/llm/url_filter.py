@@ -16,7 +16,8 @@ RULES = [
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 ]
-# Names in a host whose URLs make up the list of the registered query.
+# Names in a host whose URLs make up the list of the registered query: the bad hosts of the test data. On pages with other
+# bad hosts that list is empty; ``filter_urls`` takes any list.
 LISTED_NAMES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
