@@ -14,6 +14,7 @@ from postlens.llm.exact_dedup import exact_dedup
 from postlens.llm.license_scan import scan_licenses
 from postlens.llm.mixing import mix
 from postlens.llm.near_dedup import near_duplicates
+from postlens.llm.periodic_runs import planted, run_report
 from postlens.llm.quality import score_quality
 from postlens.llm.sharding import shard_documents
 from postlens.llm.topk import exact_top_k
@@ -66,6 +67,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(read(spark, sf_dir, "documents"), planted)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_bpe": op2_bpe,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
