@@ -11,6 +11,7 @@ from postlens.llm.bpe import token_digests
 from postlens.llm.chat import format_chats
 from postlens.llm.common import read
 from postlens.llm.exact_dedup import exact_dedup
+from postlens.llm.lexical import ranked_search
 from postlens.llm.license_scan import scan_licenses
 from postlens.llm.mixing import mix
 from postlens.llm.near_dedup import near_duplicates
@@ -67,6 +68,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(read(spark, sf_dir, "documents"), planted)
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
+    "op11_lexical_search": op11_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -136,4 +142,29 @@ SQL: dict[str, str] = {
             WHEN rule IS NOT NULL THEN 'allow'
             WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
         FROM e""",
+    "op11_lexical_search": r"""WITH terms AS (
+            SELECT place, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM (SELECT *, row_number() OVER () AS place FROM documents)),
+        sizes AS (SELECT place, doc_id, count(*) AS n FROM terms GROUP BY place, doc_id),
+        whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+        asked AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM (SELECT DISTINCT item_id, text FROM benchmark))
+            GROUP BY item_id, term),
+        counted AS (
+            SELECT place, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY place, term),
+        weighed AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counted, whole GROUP BY term),
+        scored AS (
+            SELECT item_id, doc_id, place,
+                CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total)))) AS BIGINT) AS score
+            FROM asked JOIN counted USING (term) JOIN weighed USING (term) JOIN sizes USING (place), whole
+            GROUP BY item_id, doc_id, place)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+            doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 20""",
 }
