@@ -11,6 +11,7 @@ from postlens.llm.bpe import token_digests
 from postlens.llm.chat import format_chats
 from postlens.llm.common import read
 from postlens.llm.exact_dedup import exact_dedup
+from postlens.llm.language import identify_languages
 from postlens.llm.lexical import ranked_search
 from postlens.llm.license_scan import scan_licenses
 from postlens.llm.mixing import mix
@@ -72,6 +73,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(read(spark, sf_dir, "documents"), planted)
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op9_url_filter": op9_url_filter,
     "op10_license_scan": op10_license_scan,
     "op11_lexical_search": op11_lexical_search,
+    "op12_language_id": op12_language_id,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
