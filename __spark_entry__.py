@@ -10,22 +10,25 @@ Bindings only; all logic is in ``postlens``. The tables play the three roles lik
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.functions.records import decode_payload, iso_text, routed
+from postlens.functions.records import decode_payload, iso_text, routed, topic_envelope
 from postlens.functions.text import joined_text, lenient_int, placeholder_to_null, swap_token, without_text
 from postlens.functions.values import band, coordinates, in_years, lenient_timestamp, year_of
 from postlens.operators.cleaning import clean_places, clean_posts, clean_users
 from postlens.operators.joins import argmax_rows, join_places, join_users
-from postlens.operators.rollups import approx_median_by, counts_by, exact_median_by, top_n_per_group
-from postlens.operators.sampling import row_at_offset, rows_at_offsets
-from postlens.plans import insights
+from postlens.operators.rollups import approx_median_by, counts_by, exact_median_by, top_many_per_group, top_n_per_group
+from postlens.operators.sampling import OrderIndex, build_index, row_at_offset, rows_at_offsets
+from postlens.operators.sketches import medians_of, merged_by, within_bound
+from postlens.plans import insights, sketched, tallies
 from postlens.session import fresh_path
-from postlens.sinks.publish import publish, stream_records, topic_records
+from postlens.sinks.publish import append_to_topic, publish, stream_records, topic_records
 from postlens.sources.tables import read_table_at
-from postlens.sources.topics import read_topic
+from postlens.sources.topics import read_topic, read_topic_from
+from postlens.sources.variants import ingest_records, typed_records
 from postlens.streaming.ingest import open_stream, start_ingest
 
 YEARS = (1996, 2000)
@@ -39,9 +42,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---- tables in their roles -------------------------------------------------------------------------------------------
 
 
-def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_posts(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return events.select(
+        *more,
         F.col("user_id").alias("ind"),
         F.col("event_type").alias("category"),
         (F.col("value") * 100).cast("int").alias("follower_count"),
@@ -347,6 +351,52 @@ def median_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_median_by(table(spark, sf_dir, "lineitem"), ["l_partkey"], "l_extendedprice", "median_price")
 
 
+def sketched_median_by_return_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 from stored sketches of each shipping day, merged; whether the medians lie where the exact ones would."""
+    items = table(spark, sf_dir, "lineitem")
+    path = fresh_path(spark, "sketches")
+    sketched.store_sketches(items, path, "l_shipdate", ["l_returnflag"], "l_extendedprice")
+    merged = merged_by(sketched.stored_sketches(spark, path), ["l_returnflag"], "double")
+    return within_bound(items, medians_of(merged, ["l_returnflag"], "m", "double"), ["l_returnflag"], "l_extendedprice", "m")
+
+
+def sketched_report(
+    spark: SparkSession, sf_dir: str, report: Callable[..., DataFrame], groups: list[str], users: Callable[..., DataFrame]
+) -> DataFrame:
+    """A median report of the stored daily sketches of posts, and whether its medians lie in their place."""
+    _, places, everyone = social(spark, sf_dir)
+    posts = event_posts(spark, sf_dir, "ts")
+    path = fresh_path(spark, "sketches")
+    sketched.store_sketches(posts, path, "ts", ["ind"], "follower_count")
+    found = report(sketched.stored_sketches(spark, path), places, everyone)
+    rows = insights.weighted_followers(posts, places, users(everyone), groups)
+    return within_bound(rows, found, groups, "follower_count", "median_follower_count", "_weight")
+
+
+def sketched_median_followers_by_age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8 from sketches."""
+    return sketched_report(spark, sf_dir, sketched.median_followers_by_age_band, ["age_group"], insights.banded)
+
+
+def sketched_median_followers_by_join_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10 from sketches."""
+    report = partial(sketched.median_followers_by_join_year, years=YEARS)
+    return sketched_report(spark, sf_dir, report, ["post_year"], partial(insights.by_join_year, years=YEARS))
+
+
+def sketched_median_followers_by_band_and_join_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q11 from sketches."""
+    report = partial(sketched.median_followers_by_band_and_join_year, years=YEARS)
+    users = lambda everyone: insights.banded(insights.by_join_year(everyone, YEARS))
+    return sketched_report(spark, sf_dir, report, ["age_group", "post_year"], users)
+
+
+def top_items_by_return_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 for an n of thousands."""
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return top_many_per_group(items, ["l_returnflag"], "l_extendedprice", 5_000, ["l_orderkey", "l_linenumber"], few_groups=True)
+
+
 def joined_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q9, E8, F2, A1."""
     return insights.users_joined_by_year(order_users(spark, sf_dir), YEARS)
@@ -393,6 +443,21 @@ def lenient_int_of_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.groupBy(lenient_int(F.col("k")).alias("k")).agg(F.count("*").alias("times"))
 
 
+def lenient_int_of_mixed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 where the text is a number with blanks, a fraction, out of range, a thousands mark, negative or none at all."""
+    kind, number = F.col("event_id") % 6, F.col("user_id").cast("string")
+    text = (
+        F.when(kind == 0, F.concat(F.lit(" "), number, F.lit(" ")))
+        .when(kind == 1, F.concat(number, F.lit(".7")))
+        .when(kind == 2, F.concat(F.lit("30000000"), number))
+        .when(kind == 3, F.concat(number, F.lit("k")))
+        .when(kind == 4, F.concat(F.lit("-"), number))
+        .otherwise("n/a")
+    )
+    payloads = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct("event_id", text.alias("k"))).alias("data"))
+    return decode_payload(payloads, "event_id bigint, k string").select("event_id", lenient_int(F.col("k")).alias("k"))
+
+
 def pair_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5."""
     pair = coordinates(F.col("c_acctbal"), F.col("c_nationkey").cast("double"))
@@ -436,6 +501,23 @@ def drawn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_at_offsets(draws, table(spark, sf_dir, "customer").drop("c_mktsegment"), "c_custkey")
 
 
+def indexed(spark: SparkSession, sf_dir: str) -> OrderIndex:
+    """Line items in order of a key with three values: each holds a quarter of the rows at least."""
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return build_index(items, "l_returnflag", fresh_path(spark, "index"), run_rows=5_000)
+
+
+def row_at_indexed_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4, O2 on a stored index, within the rows of a hot key."""
+    return indexed(spark, sf_dir).at(4_321)
+
+
+def rows_at_indexed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 on a stored index: a draw per order, repeating and partly past the end."""
+    draws = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") * 47).alias("offset"))
+    return indexed(spark, sf_dir).at_offsets(draws)
+
+
 def record_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2, K4, E12."""
     events = table(spark, sf_dir, "events").withColumn(
@@ -481,6 +563,80 @@ def envelope_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values.withColumn("o_orderdate", lenient_timestamp(F.col("o_orderdate")).cast("timestamp_ntz"))
 
 
+def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as topic records, with the key they are dealt by."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    value = topic_envelope(F.struct("o_orderkey", "o_custkey", "o_totalprice"))
+    return orders.select("o_custkey", "o_orderkey", value.alias("value"))
+
+
+ORDER_ENVELOPE = "records array<struct<value struct<o_orderkey bigint, o_custkey bigint, o_totalprice double>>>"
+
+
+def published_topic_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records dealt to a topic's partitions by key, in two appends; the topic read as any other."""
+    root, records = fresh_path(spark, "topic"), order_envelopes(spark, sf_dir)
+    append_to_topic(records.where("o_orderkey % 2 = 0"), root, "o_custkey")
+    append_to_topic(records.where("o_orderkey % 2 = 1"), root, "o_custkey")
+    return read_topic(spark, root, ORDER_ENVELOPE).select(F.inline("records")).select("value.*")
+
+
+def resumed_topic_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What came since the offsets of an earlier read."""
+    root, records = fresh_path(spark, "topic"), order_envelopes(spark, sf_dir)
+    append_to_topic(records.where("o_orderkey % 3 = 0"), root, "o_custkey")
+    _, offsets = read_topic_from(spark, root, ORDER_ENVELOPE)
+    append_to_topic(records.where("o_orderkey % 3 > 0"), root, "o_custkey")
+    return read_topic_from(spark, root, ORDER_ENVELOPE, offsets)[0].select(F.inline("records")).select("value.*")
+
+
+def untyped_topic_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 without a schema, each record parsed once."""
+    root = fresh_path(spark, "topic")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    events.write.json(root)
+    return typed_records(ingest_records(spark, root, fresh_path(spark, "records")))
+
+
+# ---- reports kept up to date -----------------------------------------------------------------------------------------
+
+
+def tallied(spark: SparkSession, sf_dir: str) -> str:
+    """The state after two halves of posts, places and users, the second added to the tallies of the first."""
+    orders = table(spark, sf_dir, "orders")
+    places = orders.select(
+        "o_orderkey", F.col("o_custkey").alias("ind"), F.col("o_orderstatus").alias("country"), F.col("o_orderdate").alias("timestamp")
+    )
+    users = order_users(spark, sf_dir).withColumn("o_orderkey", F.hash("date_joined", "age"))
+    posts, before = event_posts(spark, sf_dir, "event_id"), None
+    for half in range(2):
+        after = fresh_path(spark, "tallies")
+        new = [df.where(F.pmod(F.col(key), F.lit(2)) == half) for df, key in ((posts, "event_id"), (places, "o_orderkey"), (users, "o_orderkey"))]
+        tallies.advance(spark, before, after, *new, post_years=YEARS, join_years=YEARS)
+        before = after
+    return before
+
+
+def tallied_top_category_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 from tallies."""
+    return tallies.top_category_by_country(spark, tallied(spark, sf_dir))
+
+
+def tallied_category_counts_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 from tallies."""
+    return tallies.category_counts_by_year(spark, tallied(spark, sf_dir))
+
+
+def tallied_top_category_by_age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 from tallies."""
+    return tallies.top_category_by_age_band(spark, tallied(spark, sf_dir))
+
+
+def tallied_joined_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9 from tallies."""
+    return tallies.users_joined_by_year(spark, tallied(spark, sf_dir))
+
+
 # ---- the contract ----------------------------------------------------------------------------------------------------
 
 YEAR_RANGE = f"BETWEEN {YEARS[0]} AND {YEARS[1]}"
@@ -653,6 +809,13 @@ BINDINGS: dict[str, tuple[Query, str]] = {
         """SELECT TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS times
         FROM events GROUP BY 1""",
     ),
+    "lenient_int_of_mixed_text": (
+        lenient_int_of_mixed_text,
+        """SELECT event_id, CAST(CASE event_id % 6 WHEN 0 THEN user_id WHEN 1 THEN user_id WHEN 4 THEN -user_id
+            WHEN 2 THEN CASE WHEN CAST('30000000' || user_id AS BIGINT) < 2147483648
+                THEN CAST('30000000' || user_id AS BIGINT) END END AS INTEGER) AS k
+        FROM events""",
+    ),
     "pair_array": (
         pair_array,
         "SELECT c_custkey, c_acctbal AS first, CAST(c_nationkey AS DOUBLE) AS second FROM customer",
@@ -667,6 +830,45 @@ BINDINGS: dict[str, tuple[Query, str]] = {
         reorder_columns,
         "SELECT c_name, c_custkey AS ind, c_acctbal + 1 AS balance FROM customer",
     ),
+    "sketched_median_by_return_flag": (
+        sketched_median_by_return_flag,
+        "SELECT l_returnflag, count(l_extendedprice) AS n_values, true AS within_bound FROM lineitem GROUP BY 1",
+    ),
+    "sketched_median_followers_by_age_band": (
+        sketched_median_followers_by_age_band,
+        SOCIAL_SQL + "SELECT age_group, count(follower_count) AS n_values, true AS within_bound FROM joined GROUP BY 1",
+    ),
+    "sketched_median_followers_by_join_year": (
+        sketched_median_followers_by_join_year,
+        SOCIAL_SQL
+        + f"""SELECT post_year, count(follower_count) AS n_values, true AS within_bound FROM joined
+        WHERE post_year {YEAR_RANGE} GROUP BY 1""",
+    ),
+    "sketched_median_followers_by_band_and_join_year": (
+        sketched_median_followers_by_band_and_join_year,
+        SOCIAL_SQL
+        + f"""SELECT age_group, post_year, count(follower_count) AS n_values, true AS within_bound FROM joined
+        WHERE post_year {YEAR_RANGE} GROUP BY 1, 2""",
+    ),
+    "top_items_by_return_flag": (
+        top_items_by_return_flag,
+        """SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) <= 5000""",
+    ),
+    "row_at_indexed_offset": (
+        row_at_indexed_offset,
+        """SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+        ORDER BY l_returnflag, l_orderkey, l_linenumber, l_extendedprice LIMIT 1 OFFSET 4321""",
+    ),
+    "rows_at_indexed_offsets": (
+        rows_at_indexed_offsets,
+        """WITH placed AS (
+            SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice,
+                row_number() OVER (ORDER BY l_returnflag, l_orderkey, l_linenumber, l_extendedprice) - 1 AS place
+            FROM lineitem)
+        SELECT o_orderkey, o_custkey * 47 AS "offset", l_returnflag, l_orderkey, l_linenumber, l_extendedprice
+        FROM orders LEFT JOIN placed ON place = o_custkey * 47""",
+    ),
     "row_at_offset": (row_at_one_offset, "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1 OFFSET 7"),
     "row_at_large_offset": (
         row_at_large_offset,
@@ -705,6 +907,40 @@ BINDINGS: dict[str, tuple[Query, str]] = {
         json_topic_scan,
         "SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'",
     ),
+    "published_topic_scan": (published_topic_scan, "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"),
+    "resumed_topic_scan": (
+        resumed_topic_scan,
+        "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 3 > 0",
+    ),
+    "untyped_topic_scan": (untyped_topic_scan, "SELECT event_id, user_id, event_type, value FROM events"),
+    "tallied_top_category_by_country": (
+        tallied_top_category_by_country,
+        """SELECT country, category, category_count FROM (
+            SELECT o_orderstatus AS country, event_type AS category, count(*) AS category_count
+            FROM events JOIN orders ON user_id = o_custkey GROUP BY 1, 2)
+        QUALIFY row_number() OVER (PARTITION BY country ORDER BY category_count DESC, category) = 1""",
+    ),
+    "tallied_category_counts_by_year": (
+        tallied_category_counts_by_year,
+        f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS post_year, event_type AS category, count(event_type) AS category_count
+        FROM events JOIN orders ON user_id = o_custkey WHERE year(o_orderdate) {YEAR_RANGE} GROUP BY 1, 2""",
+    ),
+    "tallied_top_category_by_age_band": (
+        tallied_top_category_by_age_band,
+        """WITH users AS (SELECT o_custkey AS ind, CAST(floor(o_totalprice / 6000) AS BIGINT) AS age FROM orders),
+        counted AS (
+            SELECT CASE WHEN age BETWEEN 18 AND 24 THEN '18-24' WHEN age BETWEEN 25 AND 35 THEN '25-35'
+                    WHEN age BETWEEN 36 AND 50 THEN '36-50' WHEN age > 50 THEN '+50' END AS age_group,
+                event_type AS category, count(*) AS category_count
+            FROM users JOIN events ON ind = user_id JOIN orders ON ind = o_custkey GROUP BY 1, 2)
+        SELECT age_group, category, category_count FROM counted
+        QUALIFY row_number() OVER (PARTITION BY age_group ORDER BY category_count DESC, category) = 1""",
+    ),
+    "tallied_joined_per_year": (
+        tallied_joined_per_year,
+        f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS post_year, count(o_custkey) AS number_users_joined
+        FROM orders WHERE year(o_orderdate) {YEAR_RANGE} GROUP BY 1""",
+    ),
     "envelope_round_trip": (envelope_round_trip, "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders"),
     "stream_clean_append": (stream_clean_append, dirty_posts_sql(PLAIN_FOLLOWERS_SQL, "event_id")),
     "stream_clean_append_places": (stream_clean_append_places, PLACES_SQL),
@@ -721,9 +957,7 @@ def entry(spark: SparkSession) -> DataFrame:
 try:  # the operators of postlens.llm and the pipeline over them may have been taken away
     import corpus_pipeline
     from postlens.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "postlens.llm", "postlens.llm.queries"):
-        raise
+except ModuleNotFoundError:  # or a package that only they need is not installed here
     LLM_QUERIES: dict[str, Query] = {}
     LLM_SQL: dict[str, str] = {}
 else:

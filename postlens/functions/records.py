@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 # A NULL field is written as null, not left out.
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -54,3 +54,16 @@ def routed(table: Column, routes: Mapping[str, str]) -> Column:
 def decode_payload(df: DataFrame, schema: StructType, column: str = "data") -> DataFrame:
     """Binary JSON payload to columns. A broken payload gives a row of NULLs, extra fields are ignored."""
     return df.select(F.from_json(F.col(column).cast("string"), schema).alias("record")).select("record.*")
+
+
+BROKEN = "broken_payload"
+
+
+def decode_payload_and_broken(df: DataFrame, schema: StructType, column: str = "data") -> DataFrame:
+    """As ``decode_payload``, a row for each record, with the text of a payload that is no JSON object in ``BROKEN``.
+
+    A NULL payload is not broken: its row is all NULL.
+    """
+    wider = StructType([*schema, StructField(BROKEN, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    return df.select(F.from_json(F.col(column).cast("string"), wider, options).alias("record")).select("record.*")

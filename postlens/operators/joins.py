@@ -8,28 +8,25 @@ before its first shuffle.
 
 from __future__ import annotations
 
-import warnings
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FORCE_SPLIT = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
-
-
 def join_places(posts: DataFrame, places: DataFrame, key: str = "ind") -> DataFrame:
-    """Inner equi-join, one copy of the key. AQE splits a hot key, both sides being plain shuffles.
-
-    Where its result goes straight on into J2, it does so only with ``spark.sql.adaptive.forceOptimizeSkewedJoin``, as in
-    ``session.SETTINGS``; a session without it is warned.
-    """
+    """Inner equi-join, one copy of the key. AQE splits a hot key, both sides being plain shuffles."""
     return posts.join(places, key, "inner")
 
 
 def join_users(users: DataFrame, posts_places: DataFrame, key: str = "ind") -> DataFrame:
-    """Inner equi-join of users to the result of J1, one copy of the key."""
+    """Inner equi-join of users to the result of J1, one copy of the key.
+
+    A hot key is split in both joins, in any session: where ``spark.sql.adaptive.forceOptimizeSkewedJoin`` is not set (as
+    ``session.SETTINGS`` does), the rows of J1 are rebalanced in between. That is one more shuffle of them, but without it
+    Spark would reuse J1's partitions for J2 and split neither.
+    """
     if users.sparkSession.conf.get(FORCE_SPLIT, "false") != "true":
-        warnings.warn(f"without {FORCE_SPLIT}=true a hot key of two joins in a row is not split", stacklevel=2)
+        posts_places = posts_places.hint("rebalance")
     return users.join(posts_places, key, "inner")
 
 

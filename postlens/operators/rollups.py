@@ -6,10 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, ShortType
+from pyspark.sql.types import ByteType, IntegerType, MapType, ShortType, VariantType
 
-# Parts a value range is split into by ``exact_median_by``.
+# Parts that the range of 32-bit integers is split into by ``exact_median_by``.
 PARTS = 65_536
+# Marks placed by rank around a median. A sketch of the rows is off by at most 1 / accuracy of them in rank, so two marks
+# hold the median and at most 0.0008 of a group's rows between them. Of distinct values with weights the median's rank is
+# not known beforehand: each round keeps one of 32 parts of at most 0.034 of what is left, two rounds 0.0012 of all.
+ROW_ACCURACY, ROW_SHARES = 10_000, (0.4997, 0.5003)
+VALUE_ACCURACY, VALUE_SHARES, VALUE_ROUNDS = 1_000, tuple(i / 32 for i in range(1, 32)), 2
 
 
 def counts_by(df: DataFrame, keys: Sequence[str], counted: str, name: str) -> DataFrame:
@@ -23,13 +28,64 @@ def top_n_per_group(
     """W1+F1: the ``n`` rows of each group with the greatest ``measure``, ties settled by ``tiebreak`` ascending.
 
     Catalyst turns the rank filter into a per-task limit before the shuffle, so a group however large sends at most ``n``
-    rows per task (as long as ``n`` is within ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default).
+    rows per task (as long as ``n`` is within ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default). For
+    more rows than that use ``top_many_per_group``.
     """
     order = [F.col(measure).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in tiebreak]]
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 
 
+def top_many_per_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    measure: str,
+    n: int,
+    tiebreak: Sequence[str] = (),
+    few_groups: bool = False,
+    parts: int = 64,
+) -> DataFrame:
+    """W1+F1 for a large ``n`` and a numeric ``measure``: the rows of ``top_n_per_group`` without ranking whole groups.
+
+    Per group the ``n``-th greatest value is selected as in ``exact_median_by``: counts between marks say which part of
+    the range holds it, and only that part's distinct values are ranked. Rows above it stay without being ordered. Rows
+    that tie with it (or, where a group has fewer values, its rows of a NULL measure) are ranked by ``tiebreak`` in two
+    steps, by a hash of the row into ``parts`` and then over what each part keeps, so the last task of a group has
+    ``parts * n`` of them at most. ``df`` is read three times: write it down first if it is dear. ``few_groups`` as in
+    ``exact_median_by``.
+    """
+    keys = list(keys)
+    named = df.select(*keys, F.col(measure).alias("_value"))
+    counted = named.groupBy(*keys, "_value").agg(F.expr("sum(CASE WHEN _value IS NULL THEN 0 ELSE 1L END)").alias("_count"))
+    nth = f"CASE WHEN sum(_count) = 0 THEN 0 ELSE greatest(CAST(sum(_count) AS DECIMAL(38, 0)) - {n - 1}, 1) END"
+    live = _between_marks(counted, keys, few_groups, VALUE_SHARES, VALUE_ACCURACY, VALUE_ROUNDS, nth)
+    last = _holding_nth(live, keys, "_value").select(*keys, F.col("_value").alias("_least"))
+    told = _told(counted, last, keys, few_groups).groupBy(*keys).agg(
+        F.expr("sum(CASE WHEN _value > _least THEN _count ELSE 0 END)").alias("_above"),
+        F.sum("_count").alias("_all"),
+        F.first("_least").alias("_least"),
+    )
+    # with fewer values than n all of them stay, and rows of a NULL measure fill up
+    told = told.selectExpr(
+        *[f"`{k}`" for k in keys],
+        f"CASE WHEN _all >= {n} THEN _least END AS _least",
+        f"{n} - CASE WHEN _all >= {n} THEN _above ELSE _all END AS _room",
+    )
+    wide = _told(df, told, keys, few_groups)
+    value = F.col(measure)
+    sure = F.when(F.col("_least").isNull(), value.isNotNull()).otherwise(F.coalesce(value > F.col("_least"), F.lit(False)))
+    tie = value.eqNullSafe(F.col("_least"))
+    order = [F.col(c).asc_nulls_first() for c in tiebreak] or [F.lit(0)]
+    hashed = [f.name for f in df.schema if f.name not in keys and not isinstance(f.dataType, (MapType, VariantType))]
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(parts))
+    within = Window.partitionBy(*keys, "_part").orderBy(*order)
+    first = wide.where(tie & ~sure).withColumn("_part", salt).withColumn("_rank", F.row_number().over(within))
+    first = first.where(F.col("_rank") <= F.least("_room", F.lit(n))).drop("_part", "_rank")
+    ranked = first.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    filled = ranked.where(F.col("_rank") <= F.col("_room"))
+    return wide.where(sure).select(*df.columns).unionAll(filled.select(*df.columns))
+
+
 def approx_median_by(
     df: DataFrame, keys: Sequence[str], value: str, name: str, accuracy: int = 10_000
 ) -> DataFrame:
@@ -53,12 +109,14 @@ def exact_median_by(
     """Lower median of a numeric ``value`` per group, each row counted ``weight`` times (a positive whole number).
 
     NULL values are passed over; a group with nothing else gives NULL. No group is gathered in one task: distinct values
-    are counted, the counts are summed over coarse parts of the value range, and only the values in the part that holds
-    the median are ranked. For 32-bit integers that leaves at most ``PARTS`` values per group; for wider types the part
-    is first split once more, into ``PARTS`` equal parts.
+    are counted, the counts are summed over parts of the value range, and only the values in the part that holds the
+    median are ranked. For 32-bit integers that leaves at most ``PARTS`` values per group. For wider types the parts lie
+    between marks placed by rank, however the values are spread, and what is ranked is one repeated value or about a
+    thousandth of the group's rows (with ``rescan`` and no weight) or distinct values (else). The marks come from a sketch,
+    which only decides how much is left; the counts beside them are exact.
 
     ``few_groups`` says that the number of groups is bounded by the meaning of the keys (a band, a year), which allows
-    broadcasting one row per group. With ``rescan``, each of the two or three steps reads ``df`` again and combines on the
+    broadcasting one row per group. With ``rescan``, each of the steps reads ``df`` again and combines on the
     map side, so that hardly anything is shuffled: right for few groups of a table's rows, wrong after a join. Without it
     the distinct values are shuffled once and kept.
     """
@@ -73,32 +131,27 @@ def exact_median_by(
         counted = named.groupBy(*keys, "_value").agg(F.sum(each).alias("_count"))
 
     is_small = isinstance(df.schema[value].dataType, (ByteType, ShortType, IntegerType))
-    sums = counted.groupBy(*keys, F.expr(UPPER_BITS if is_small else MAGNITUDE).alias("_part")).agg(*_summary())
-    rows = f"sum(_count) OVER (PARTITION BY {_listed(keys)})"
-    state = _holding_nth(sums.selectExpr("*", f"ceil(CAST({rows} AS DECIMAL(38, 0)) / 2) AS _nth"), keys, "_part")
-    if not is_small:
+    if is_small:
+        sums = counted.groupBy(*keys, F.expr(UPPER_BITS).alias("_part")).agg(*_summary())
+        rows = f"sum(_count) OVER (PARTITION BY {_listed(keys)})"
+        state = _holding_nth(sums.selectExpr("*", f"ceil(CAST({rows} AS DECIMAL(38, 0)) / 2) AS _nth"), keys, "_part")
         live = _inside(counted, state, keys, few_groups)
-        sums = live.groupBy(*keys, F.expr(EQUAL_PART).alias("_part")).agg(*_summary(), F.max("_nth").alias("_nth"))
-        state = _holding_nth(sums, keys, "_part")
-    live = _inside(counted, state, keys, few_groups)
+    elif rescan and weight is None:
+        live = _between_marks(counted, keys, few_groups, ROW_SHARES, ROW_ACCURACY, rounds=1)
+    else:
+        live = _between_marks(counted, keys, few_groups, VALUE_SHARES, VALUE_ACCURACY, VALUE_ROUNDS)
     if rescan:
         live = live.groupBy(*keys, "_value").agg(F.sum("_count").alias("_count"), F.max("_nth").alias("_nth"))
     return _holding_nth(live, keys, "_value").select(*keys, F.col("_value").alias(name))
 
 
-# Three ways to a part of the value range. None falls as the value rises, which is all that is asked of them.
 # The upper half of a 32-bit integer.
 UPPER_BITS = "shiftright(CAST(_value AS INT), 16)"
-# Logarithmic steps of about 1.6 % to both sides of zero; infinities and NaN at their ends.
-MAGNITUDE = f"""CASE
-    WHEN isnan(CAST(_value AS DOUBLE)) THEN {PARTS + 1}
-    WHEN CAST(_value AS DOUBLE) = double('infinity') THEN {PARTS}
-    WHEN CAST(_value AS DOUBLE) = double('-infinity') THEN -{PARTS}
-    ELSE CAST(signum(CAST(_value AS DOUBLE)) * floor(log1p(abs(CAST(_value AS DOUBLE))) * 64) AS INT) END"""
-# Equal steps from _low to _high, by halves so that nothing overflows. One step where the two are equal or not finite.
-EQUAL_PART = f"""coalesce(CAST(floor({PARTS - 1} * nanvl(try_divide(
-    CAST(_value AS DOUBLE) / 2 - CAST(_low AS DOUBLE) / 2,
-    CAST(_high AS DOUBLE) / 2 - CAST(_low AS DOUBLE) / 2), 0D)) AS INT), 0)"""
+# A value's place on the line of finite doubles; never falls as the value rises, which is all that is asked of it.
+PLACE = """CASE
+    WHEN isnan(CAST(_value AS DOUBLE)) OR CAST(_value AS DOUBLE) = double('infinity') THEN 1.7976931348623157E308D
+    WHEN CAST(_value AS DOUBLE) = double('-infinity') THEN -1.7976931348623157E308D
+    ELSE CAST(_value AS DOUBLE) END"""
 
 
 def _listed(keys: list[str]) -> str:
@@ -110,18 +163,63 @@ def _summary() -> tuple[Column, ...]:
 
 
 def _inside(counted: DataFrame, state: DataFrame, keys: list[str], few_groups: bool) -> DataFrame:
-    """Counted values within their group's interval; the NULL rows of a group without values stay.
+    """Counted values within their group's interval; the NULL rows of a group without values stay."""
+    told = state.selectExpr(*[f"`{k}`" for k in keys], "_low", "_high", "_nth - _before AS _nth")
+    within = "coalesce(_value BETWEEN _low AND _high, _low IS NULL)"
+    return _told(counted, told, keys, few_groups, within)
+
+
+def _told(counted: DataFrame, state: DataFrame, keys: list[str], few_groups: bool, within: str = "true") -> DataFrame:
+    """The counted values for which ``within`` holds, with their group's state.
 
     The condition is wrapped so that Catalyst infers no not-NULL filter for one side: all uses of ``counted`` then have
     the same plan, and its shuffle runs once.
     """
-    renamed = state.selectExpr(*[f"`{k}` AS `_key_{k}`" for k in keys], "_low", "_high", "_nth - _before AS _nth")
+    named = state.selectExpr(*[f"`{k}` AS `_key_{k}`" for k in keys], *[c for c in state.columns if c not in keys])
     if few_groups:
-        renamed = F.broadcast(renamed)  # one row per band or year
+        named = F.broadcast(named)  # one row per band or year
     same_group = " AND ".join(f"`{k}` <=> `_key_{k}`" for k in keys)
-    within = "coalesce(_value BETWEEN _low AND _high, _low IS NULL)"
-    joined = counted.join(renamed, F.expr(f"{same_group} AND {within}"))
-    return joined.select(*keys, "_value", "_count", "_low", "_high", "_nth")
+    return counted.join(named, F.expr(f"{same_group} AND {within}")).drop(*[f"_key_{k}" for k in keys])
+
+
+def _between_marks(
+    counted: DataFrame,
+    keys: list[str],
+    few_groups: bool,
+    shares: Sequence[float],
+    accuracy: int,
+    rounds: int,
+    nth: str = "ceil(CAST(sum(_count) AS DECIMAL(38, 0)) / 2)",
+) -> DataFrame:
+    """Counted values of the part, between marks at the given shares of the values' ranks, that holds the ``nth``.
+
+    A part goes from above one mark up to the next. The counts up to each mark are summed for all marks at once, so a
+    round costs one row per task and group; it is repeated on what is left.
+    """
+    placed = counted.withColumn("_at", F.expr(PLACE))
+    live, state = placed, None
+    for _ in range(rounds):
+        found = [F.percentile_approx("_at", list(shares), accuracy).alias("_marks")]
+        if state is None:
+            found.append(F.expr(nth).alias("_nth"))
+        else:
+            found.append(F.max("_nth").alias("_nth"))
+        marks = live.groupBy(*keys).agg(*found)
+        seen = _told(live.drop("_nth"), marks, keys, few_groups)
+        upto = [F.expr(f"sum(CASE WHEN _at <= _marks[{i}] THEN _count ELSE 0 END)").alias(f"_upto{i}") for i in range(len(shares))]
+        sums = seen.groupBy(*keys).agg(*upto, F.first("_marks").alias("_marks"), F.first("_nth").alias("_nth"))
+        listed = f"array({', '.join(f'_upto{i}' for i in range(len(shares)))})"
+        parts = sums.selectExpr(*[f"`{k}`" for k in keys], "_marks", "_nth", f"{listed} AS _upto")
+        parts = parts.selectExpr("*", "size(filter(_upto, x -> x < _nth)) AS _part")
+        state = parts.selectExpr(
+            *[f"`{k}`" for k in keys],
+            "get(_marks, _part - 1) AS _above",
+            "get(_marks, _part) AS _last",
+            "_nth - coalesce(get(_upto, _part - 1), 0) AS _nth",
+        )
+        within = "coalesce((_above IS NULL OR _at > _above) AND (_last IS NULL OR _at <= _last), false)"
+        live = _told(live.drop("_nth"), state, keys, few_groups, within).drop("_above", "_last")
+    return live.select(*keys, "_value", "_count", "_nth")
 
 
 def _holding_nth(df: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -69,7 +69,7 @@ def top_category_by_age_band(
     posts: DataFrame, places: DataFrame, users: DataFrame, bands=AGE_BANDS
 ) -> DataFrame:
     """Q7: most frequent category per age band; NULL is the band of everyone else."""
-    others = _user_weights(_banded(users, bands), places, ["age_group"])
+    others = user_weights(banded(users, bands), places, ["age_group"])
     counts = _category_counts(posts, others, ["age_group"])
     return top_n_per_group(counts, ["age_group"], "category_count", tiebreak=["category"])
 
@@ -78,7 +78,7 @@ def median_followers_by_age_band(
     posts: DataFrame, places: DataFrame, users: DataFrame, bands=AGE_BANDS
 ) -> DataFrame:
     """Q8: median follower count per age band."""
-    return _median_followers(posts, places, _banded(users, bands), ["age_group"])
+    return _median_followers(posts, places, banded(users, bands), ["age_group"])
 
 
 def median_followers_by_age_band_and_count(
@@ -86,14 +86,14 @@ def median_followers_by_age_band_and_count(
 ) -> DataFrame:
     """Q8 with the follower count as a second key: the median of equal values is the value, so this is the key again."""
     followers = posts.select("ind", "follower_count").distinct()
-    groups = _banded(users, bands).select("ind", "age_group").distinct().join(places.select("ind").distinct(), "ind")
+    groups = banded(users, bands).select("ind", "age_group").distinct().join(places.select("ind").distinct(), "ind")
     pairs = followers.join(groups.hint("rebalance"), "ind").select("age_group", "follower_count").distinct()
     return pairs.withColumn("median_follower_count", F.col("follower_count"))
 
 
 def users_joined_by_year(users: DataFrame, years: tuple[int, int] = JOIN_YEARS) -> DataFrame:
     """Q9: user rows per join year; a user recorded twice counts twice."""
-    return counts_by(_by_join_year(users, years), ["post_year"], "ind", "number_users_joined")
+    return counts_by(by_join_year(users, years), ["post_year"], "ind", "number_users_joined")
 
 
 def median_followers_by_join_year(
@@ -101,7 +101,7 @@ def median_followers_by_join_year(
 ) -> DataFrame:
     """Q10: median of the known follower counts per join year."""
     counted = posts.where(F.col("follower_count").isNotNull())
-    return _median_followers(counted, places, _by_join_year(users, years), ["post_year"])
+    return _median_followers(counted, places, by_join_year(users, years), ["post_year"])
 
 
 def median_followers_by_band_and_join_year(
@@ -112,20 +112,22 @@ def median_followers_by_band_and_join_year(
     bands=AGE_BANDS,
 ) -> DataFrame:
     """Q11: median follower count per age band and join year; NULL where none is known."""
-    return _median_followers(posts, places, _banded(_by_join_year(users, years), bands), ["age_group", "post_year"])
+    return _median_followers(posts, places, banded(by_join_year(users, years), bands), ["age_group", "post_year"])
 
 
-def _banded(users: DataFrame, bands) -> DataFrame:
+def banded(users: DataFrame, bands=AGE_BANDS) -> DataFrame:
+    """Users with their age band."""
     is_text = isinstance(users.schema["age"].dataType, StringType)
     age = lenient_number(F.col("age"), "double") if is_text else F.col("age")
     return users.withColumn("age_group", band(age, bands))
 
 
-def _by_join_year(users: DataFrame, years: tuple[int, int]) -> DataFrame:
+def by_join_year(users: DataFrame, years: tuple[int, int] = JOIN_YEARS) -> DataFrame:
+    """Users who joined in these years, with the year."""
     return in_years(users, "date_joined", *years).withColumn("post_year", year_of("date_joined"))
 
 
-def _user_weights(users: DataFrame, places: DataFrame, groups: Sequence[str]) -> DataFrame:
+def user_weights(users: DataFrame, places: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Per key and group, how often the pair occurs in users joined to places."""
     per_user = tally(users, "ind", *groups, name="_users")
     per_place = tally(places, "ind", name="_places")
@@ -140,13 +142,18 @@ def _category_counts(posts: DataFrame, weights: DataFrame, groups: Sequence[str]
     return per_post.join(weights, "ind").groupBy(*groups, "category").agg(total.alias("category_count"))
 
 
-def _median_followers(posts: DataFrame, places: DataFrame, users: DataFrame, groups: list[str]) -> DataFrame:
-    """Lower median of the follower counts per group over the three sets joined; the groups are bands and years."""
+def weighted_followers(posts: DataFrame, places: DataFrame, users: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The follower counts of the three sets joined, per group, with ``_weight``, how often each combination occurs."""
     per_post = tally(posts, "ind", "follower_count", name="_posts")
     # AQE splits a hot key only if both sides come from a shuffle; the weights, joined by the same key, would not
-    rows = per_post.join(_user_weights(users, places, groups).hint("rebalance"), "ind")
+    rows = per_post.join(user_weights(users, places, groups).hint("rebalance"), "ind")
     times = F.col("_posts").cast("decimal(20,0)") * F.col("_times")
-    weighted = rows.select(*groups, "follower_count", times.cast("decimal(38,0)").alias("_weight"))
+    return rows.select(*groups, "follower_count", times.cast("decimal(38,0)").alias("_weight"))
+
+
+def _median_followers(posts: DataFrame, places: DataFrame, users: DataFrame, groups: list[str]) -> DataFrame:
+    """Lower median of the follower counts per group over the three sets joined; the groups are bands and years."""
+    weighted = weighted_followers(posts, places, users, groups)
     return exact_median_by(
         weighted, groups, "follower_count", "median_follower_count", weight="_weight", few_groups=True
     )

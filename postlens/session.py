@@ -48,12 +48,3 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nobody used before, under the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def pin_down(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there.
-
-    Needed where a value depends on how rows were laid out, so that a lost executor cannot change it.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()

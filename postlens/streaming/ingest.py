@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from postlens.functions.records import decode_payload
+from postlens.functions.records import BROKEN, decode_payload, decode_payload_and_broken
 from postlens.operators.cleaning import clean_places, clean_posts, clean_users
 from postlens.schemas import PLACES_TEXT, POSTS_TEXT, USERS_TEXT
 
@@ -90,3 +91,23 @@ def start_ingest(
         )
         for entity, records in streams.items()
     }
+
+
+PAYLOADS = {"posts": POSTS_TEXT, "places": PLACES_TEXT, "users": USERS_TEXT}
+
+
+def with_payload_counts(records: DataFrame, entity: str) -> DataFrame:
+    """The records, unchanged; each micro-batch's progress tells under ``<entity>_payloads`` how many it had and how many
+    of them were broken. They are decoded to all-NULL rows, which nothing else tells apart from rows of NULL fields."""
+    broken = F.col("_decoded")[BROKEN].isNotNull()
+    wider = StructType([*PAYLOADS[entity], StructField(BROKEN, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    seen = records.withColumn("_decoded", F.from_json(F.col("data").cast("string"), wider, options))
+    seen = seen.observe(f"{entity}_payloads", F.count("*").alias("records"), F.count_if(broken).alias("broken"))
+    return seen.drop("_decoded")
+
+
+def broken_payloads(records: DataFrame, entity: str) -> DataFrame:
+    """``entity`` and ``payload`` of the records whose payload is no JSON object, for a table beside the cleaned one."""
+    broken = decode_payload_and_broken(records, PAYLOADS[entity]).where(F.col(BROKEN).isNotNull())
+    return broken.select(F.lit(entity).alias("entity"), F.col(BROKEN).alias("payload"))

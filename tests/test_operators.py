@@ -175,3 +175,71 @@ def test_draws_stay_in_range_and_repeat(spark):
     low, high, kinds = draws.agg(F.min("offset"), F.max("offset"), F.countDistinct("offset")).first()
     assert 0 <= low < 100 and 10_900 < high <= 11_000 and 3_000 < kinds < 5_000
     assert draws.exceptAll(sampling.draw_offsets(spark, 5_000, sampling.FEED_LAST_OFFSET).repartition(3)).isEmpty()
+
+
+@pytest.mark.parametrize("rescan", [False, True])
+def test_what_is_ranked_for_a_median_is_a_small_share(spark, rescan):
+    """Dense values at one end and one far off: equal steps of the range would leave all of them in one part."""
+    rows = spark.range(400_000).select(
+        F.lit("a").alias("k"), (1 + F.col("id") * 1e-12).alias("v"), F.lit(1).alias("_count"), F.col("id")
+    ).union(spark.sql("SELECT 'a', 1e300D, 1, 400000L"))
+    rows = rows.select("k", F.col("v").alias("_value"), "_count")
+    shares = (rollups.ROW_SHARES, rollups.ROW_ACCURACY, 1) if rescan else (rollups.VALUE_SHARES, rollups.VALUE_ACCURACY, rollups.VALUE_ROUNDS)
+    live = rollups._between_marks(rows, ["k"], True, *shares)
+    assert 0 < live.count() <= 0.0012 * 400_001
+    got = rollups.exact_median_by(rows.withColumnRenamed("_value", "v"), ["k"], "v", "m", few_groups=True, rescan=rescan)
+    assert got.first()["m"] == 1 + 200_000 * 1e-12
+
+
+def plain_top(rows, n):
+    """Greatest measure first, NaN above all numbers and None below, then the tie-break."""
+    out = []
+    for key in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == key]
+        mine.sort(key=lambda r: r[2])
+        mine.sort(key=lambda r: (r[1] is not None, r[1] is not None and math.isnan(r[1]), r[1] or 0), reverse=True)
+        out += mine[:n]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("few_groups", [False, True])
+@pytest.mark.parametrize("n", [1, 3, 40, 500])
+def test_top_many_is_top_n(spark, n, few_groups):
+    nan, inf = float("nan"), float("inf")
+    measures = [None, nan, inf, -inf, 0.0, 1.5, *[float(i % 9) for i in range(30)]]
+    rows = [(k, measures[(i * 7 + len(k or "")) % len(measures)], f"t{i:03d}") for i in range(200) for k in ("a", "bb", None)]
+    rows += [("nulls", None, "x"), ("nulls", None, "w"), ("one", 2.0, "x"), ("few", 2.0, "x"), ("few", None, "b"), ("few", None, "a")]
+    df = spark.createDataFrame(rows, "k string, m double, t string")
+    got = rollups.top_many_per_group(df, ["k"], "m", n, ["t"], few_groups, parts=3)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, plain_top(rows, n)))
+
+
+def test_the_index_is_the_table_in_key_order(spark, tmp_path):
+    """One key holds a third of the rows and more than a run."""
+    rows = [(None, i) for i in range(30)] + [(7, i // 2) for i in range(100)] + [(i, 0) for i in range(170)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(5)
+    index = sampling.build_index(df, "k", str(tmp_path / "index"), run_rows=40)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for n in (0, 29, 30, 39, 40, 130, 299, 300, 10_000):
+        assert [tuple(r) for r in index.at(n).collect()] == ordered[n : n + 1]
+    plan = index.at(130)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_run" in plan and not any(x in plan for x in ("Exchange", "Sort", "Window", "TakeOrdered"))
+    fences = sorted(tuple(r) for r in index.fences.select("start", "n_rows", "first_key", "last_key").collect())
+    assert [f[:2] for f in fences] == [(i * 40, 40 if i < 7 else 20) for i in range(8)]
+    draws = spark.createDataFrame([(i, i * 13 % 320) for i in range(400)], "draw int, offset int")
+    got = {r.draw: (r.k, r.v) for r in index.at_offsets(draws).collect()}
+    plain = {r.draw: (r.k, r.v) for r in sampling.rows_at_offsets(draws, df, "k").collect()}
+    assert got == plain == {i: (ordered[i * 13 % 320] if i * 13 % 320 < 300 else (None, None)) for i in range(400)}
+    few = index.at_offsets(draws.where("draw = 3"))
+    few.collect()
+    assert "dynamicpruning" in few._jdf.queryExecution().executedPlan().toString().lower()
+    assert sorted(tuple(r) for r in index.between(5, 8).collect()) == sorted(r for r in rows if r[0] is not None and 5 <= r[0] <= 8)
+
+
+def test_no_gather_in_the_plan_of_an_offset(spark):
+    df = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    draws = spark.range(50).select(F.col("id").alias("draw"), (F.col("id") * 61).alias("offset"))
+    for got in (sampling.row_at_offset(df, "k", 1_002), sampling.rows_at_offsets(draws, df, "k")):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "hashpartitioning(k" not in plan
+    assert sampling.row_at_offset(df, "k", 1_002).first()["v"] == sorted((5 if i % 3 == 0 else i, i) for i in range(3_000))[1_002][1]
