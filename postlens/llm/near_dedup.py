@@ -1,4 +1,4 @@
-"""Near-duplicate classes by Order MinHash, short texts by their rarest shingles, verified by banded alignment."""
+"""Near-duplicate classes by Order MinHash, beside it rarest shingles of short texts, verified by banded alignment."""
 
 from __future__ import annotations
 
@@ -19,6 +19,7 @@ MINIMA = 5  # shingles in a sketch
 SHORT = 28  # shingles up to which a text finds its like by single shingles, without a miss
 SHORT_PARTNER = 35  # shingles that a text can have which is like a short one: 1.25 times as many
 CELLS_AT_ONCE = 1 << 21
+ODD_WORDS = 32  # of 64 bits, in the sketch that bounds how much two texts differ
 ROUNDS, CENTRAL_ROUNDS = 4, 2  # of comparisons with leaders, before what is left is compared pair by pair
 LABEL, PLACE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
@@ -111,6 +112,17 @@ def aligned(a: np.ndarray, b: np.ndarray) -> int:
     return len(tails)
 
 
+def odd_bits(shingles: np.ndarray) -> np.ndarray:
+    """``ODD_WORDS`` words of 64 bits; a bit tells whether an odd number of the shingles is hashed to it.
+
+    A shingle that only one of two texts has changes one bit, one that both have changes none: the bits in which two texts
+    differ are at most the shingles in which they do.
+    """
+    hashed = mixed(shingles + PLACE)
+    times = np.bincount((hashed % np.uint64(64 * ODD_WORDS)).astype(np.int64), minlength=64 * ODD_WORDS)
+    return np.packbits((times & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     both = SIMILAR[0] * (len(a) + len(b))
     if not len(a) or not len(b) or SIMILAR[1] * min(len(a), len(b)) < both:
@@ -128,8 +140,8 @@ def _id_key(column: str = "doc_id") -> Column:
 def sketched(docs: DataFrame) -> DataFrame:
     """A row per document, settled: ``doc_id``, ``node`` (digest of the text), its count of shingles and its keys.
 
-    A short text has no sketches, as ``rarest_shingles`` finds all that is like it. For that ``few`` holds the shingles of
-    texts of up to ``SHORT_PARTNER``.
+    ``few`` holds the shingles of texts of up to ``SHORT_PARTNER``, for ``rarest_shingles``: sketches of short texts may
+    miss, and those keys, beside them, do not.
     """
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,7 +154,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                         "id": part["id"],
                         "node": part["node"],
                         "shingles": [len(x) for x in found],
-                        "keys": [sketches(x if len(x) > SHORT else x[:0]) for x in found],
+                        "keys": [sketches(x) for x in found],
                         "few": [(x if len(x) <= SHORT_PARTNER else x[:0]).view(np.int64) for x in found],
                     }
                 )
@@ -259,11 +271,11 @@ def open_members(members: DataFrame, labels: DataFrame, links: DataFrame) -> Dat
     return settle(now.join(split, F.col("key") == F.col("its_key")).drop("its_key"), "open-members")
 
 
-def with_shared(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def with_shared(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sets ``shared``, a bound on how many shingles a text can align with any other open one: those not its own alone.
 
     A text changed in many places has many shingles that no other has. It can be ruled out by itself, without comparing
-    it with the rest of its group.
+    it with the rest of its group. Also returns the ``odd_bits`` of the open texts by ``num``, settled.
     """
     texts = texts_of(members.select("num").distinct(), nodes, docs)
 
@@ -272,6 +284,10 @@ def with_shared(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFr
             for num, text in zip(batch["num"], batch["text"], strict=True):
                 yield pd.DataFrame({"num": num, "shingle": labelled_shingles(text).view(np.int64)})
 
+    def summed_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"num": batch["num"], "odd": [odd_bits(labelled_shingles(text)) for text in batch["text"]]})
+
     owners = texts.mapInPandas(spread, "num long, shingle long").groupBy("shingle").agg(
         F.min("num").alias("low"), F.max("num").alias("high")
     )
@@ -279,16 +295,28 @@ def with_shared(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFr
     joined = members.join(lone, F.col("num") == F.col("its_num"), "left")
     joined = joined.withColumn("shared", F.col("shingles") - F.coalesce("lone", F.lit(0))).drop("its_num", "lone")
     enough = 5 * F.col("shared") >= SIMILAR[0] * F.col("shingles")  # no partner lowers the need below this
-    return settle(joined.where(enough), "shared-members")
+    odd = settle(texts.mapInPandas(summed_up, "num long, odd array<long>"), "odd-bits")
+    return settle(joined.where(enough), "shared-members"), odd
+
 
+def open_pairs(members: DataFrame, odd: DataFrame) -> DataFrame:
+    """Distinct pairs within a bucket and of different components that no bound rules out.
 
-def open_pairs(members: DataFrame) -> DataFrame:
-    """Distinct pairs within a bucket and of different components that lengths and shared shingles don't rule out."""
-    left = members.select("key", F.col("num").alias("a"), F.col("shingles").alias("n"), F.col("label").alias("l"), F.col("shared").alias("s"))
-    right = members.select("key", F.col("num").alias("b"), F.col("shingles").alias("m"), F.col("label").alias("r"), F.col("shared").alias("t"))
-    can = SIMILAR[1] * F.least("n", "m", "s", "t") >= SIMILAR[0] * (F.col("n") + F.col("m"))
+    Similar texts differ in at most a ninth of the shingles of both: 9 (a + b - 2m) <= a + b. Their lengths, the shingles
+    that only one text has, and the bits in which their sketches differ must allow that. The last bound is close for texts
+    of up to some thousand shingles, so hardly a pair is left for comparison that is not linked.
+    """
+    held = members.join(odd.withColumnRenamed("num", "its_num"), F.col("num") == F.col("its_num"))
+    bits = lambda name: [F.col("odd")[i].alias(f"{name}{i}") for i in range(ODD_WORDS)]
+    named = lambda *names: [F.col(c).alias(n) for c, n in zip(("num", "shingles", "label", "shared"), names, strict=True)]
+    left = held.select("key", *named("a", "n", "l", "s"), *bits("x"))
+    right = held.select("key", *named("b", "m", "r", "t"), *bits("y"))
+    differ = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(ODD_WORDS)), F.lit(0))
+    alone = F.col("n") - F.col("s") + F.col("m") - F.col("t")
+    both = F.col("n") + F.col("m")
+    can = (SIMILAR[1] * F.least("n", "m", "s", "t") >= SIMILAR[0] * both) & (9 * F.greatest(differ, alone) <= both)
     apart = (F.col("a") < F.col("b")) & (F.col("l") != F.col("r")) & can
-    return left.join(right, "key").where(apart).select("a", "b").distinct()
+    return left.join(right, (left["key"] == right["key"]) & apart).select("a", "b").distinct()
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -296,12 +324,13 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Texts that share a key are candidates. First, in a few rounds, each is compared with one leader of each of its buckets,
     which joins dense groups with few comparisons. Then the pairs that share a bucket but are in different components
-    still, and whose lengths allow it, are compared too: so every candidate pair is either verified or within one class.
+    still, and that no exact bound rules out, are compared too: so every candidate pair is verified, within one class, or
+    known not to be similar.
     """
     rows = sketched(docs)
     nodes = distinct_nodes(rows)
     members = bucket_members(nodes)
-    links = tried = labels = None
+    links = tried = labels = odd = None
     own = members.withColumns({"label": F.col("num"), "degree": F.lit(0).cast("long"), "shared": F.col("shingles").cast("long")})
     for turn in range(ROUNDS):
         # the leader of a bucket is its text with most links so far, the middle of a dense group; in the last rounds any
@@ -317,8 +346,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         labels = components(links)
         own = open_members(own, labels, links)
         if turn == CENTRAL_ROUNDS - 1:
-            own = with_shared(own, nodes, docs)
-    rest = settle(_untried(open_pairs(own), tried), "pairs")
+            own, odd = with_shared(own, nodes, docs)
+    rest = settle(_untried(open_pairs(own, odd), tried), "pairs")
     more = verified(rest, nodes, docs)
     if not more.isEmpty():
         labels = components(links.union(more))
@@ -350,7 +379,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_per_class(docs: DataFrame) -> DataFrame:
-    """The documents with the least id of each class, with all their columns; one row of rows equal in id and text."""
+    """The documents with the least id of each class, with all their columns; one row of rows equal in id and text.
+
+    Edge cases as in ``near_duplicates``: a null id comes last in its class, a null text counts as empty.
+    """
     _, found = classes(docs)
     kept = settle(_per_class(found).select("best.node", _id_key("best.first_id").alias("id")), "kept")
     own = [F.col(c) for c in docs.columns]
