@@ -3,8 +3,10 @@
 import math
 
 import oracle
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from postlens.llm import chat, queries, topk, url_filter
@@ -27,6 +29,18 @@ def test_top_k_edges(spark):
     assert topk.exact_top_k(table.limit(0)).count() == 0
 
 
+def test_every_query_is_answered(spark):
+    """Two vectors under one query id, one of them twice; and a table of empty vectors only."""
+    rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (100, [0.0, 1.0]), (1, [2.0, 0.0]), (2, [0.0, 3.0]), (100, None)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.exact_top_k(table).collect())
+    unit = 1024 * 1024
+    assert got == sorted([(100, 1, 1, 2 * unit), (100, 2, 2, 0), (100, 1, 2, 3 * unit), (100, 2, 1, 0)])
+    empty = spark.createDataFrame([(100, []), (200, []), (7, [])], "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.exact_top_k(empty).collect())
+    assert got == [(100, 1, 7, 0), (100, 2, 200, 0), (200, 1, 7, 0), (200, 2, 100, 0)]
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "HTTP://WWW.Spam.Org/a/?x#y", "https://spam.org/a.html", "a://b://c/d", "http://x.net?q", "http://x.net/q"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("rule", F.lit(1))
@@ -79,3 +93,29 @@ def test_pipeline(spark):
         assert seen.columns == before, name
         assert seen.exceptAll(docs).isEmpty()
     assert 0 < corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() == seen.count() < docs.count()
+
+
+def test_pipeline_stages_on_edge_cases(spark, edge_docs, no_docs):
+    """Null ids, texts and sources, repeated rows, a very long text, clashing columns; and no rows at all."""
+    sf_dir = "/root/testdata/sf0.001"
+    seen, empty = edge_docs, no_docs
+    for name, stage in corpus_pipeline.STAGES:
+        given = [tuple(r) for r in seen.collect()]
+        seen = corpus_pipeline.settle(stage(spark, seen, sf_dir), "test-stage")
+        empty = corpus_pipeline.settle(stage(spark, empty, sf_dir), "test-stage")
+        assert empty.count() == 0
+        if name != "bpe":
+            assert seen.columns == edge_docs.columns == empty.columns
+            assert {tuple(r) for r in seen.collect()} <= set(given), name
+        else:
+            assert seen.count() == len(given)
+            assert all(r.n_tokens == len(r.ids) for r in seen.collect())
+
+
+def test_pipeline_ends_in_the_ids(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    library = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    for r in rows:
+        assert r.ids == library.encode(texts[r.doc_id], add_special_tokens=False).ids
