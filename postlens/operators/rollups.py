@@ -12,8 +12,10 @@ from pyspark.sql.types import ByteType, IntegerType, MapType, ShortType, Variant
 PARTS = 65_536
 # Marks placed by rank around a median. A sketch of the rows is off by at most 1 / accuracy of them in rank, so two marks
 # hold the median and at most 0.0008 of a group's rows between them. Of distinct values with weights the median's rank is
-# not known beforehand: each round keeps one of 32 parts of at most 0.034 of what is left, two rounds 0.0012 of all.
+# not known beforehand: of few groups one of 256 parts is kept, at most 0.006 of the values; of many, where long lists of
+# marks would weigh more than the rows, each of two rounds keeps one of 32 parts, together 0.0012 of the values.
 ROW_ACCURACY, ROW_SHARES = 10_000, (0.4997, 0.5003)
+FINE_ACCURACY, FINE_STEPS = 1_000, (128, 64, 32, 16, 8, 4, 2, 1)
 VALUE_ACCURACY, VALUE_SHARES, VALUE_ROUNDS = 1_000, tuple(i / 32 for i in range(1, 32)), 2
 
 
@@ -111,8 +113,8 @@ def exact_median_by(
     NULL values are passed over; a group with nothing else gives NULL. No group is gathered in one task: distinct values
     are counted, the counts are summed over parts of the value range, and only the values in the part that holds the
     median are ranked. For 32-bit integers that leaves at most ``PARTS`` values per group. For wider types the parts lie
-    between marks placed by rank, however the values are spread, and what is ranked is one repeated value or about a
-    thousandth of the group's rows (with ``rescan`` and no weight) or distinct values (else). The marks come from a sketch,
+    between marks placed by rank, however the values are spread, and what is ranked is one repeated value or at most 0.006
+    of the group's distinct values (with ``rescan`` and no weight 0.0008 of its rows). The marks come from a sketch,
     which only decides how much is left; the counts beside them are exact.
 
     ``few_groups`` says that the number of groups is bounded by the meaning of the keys (a band, a year), which allows
@@ -138,6 +140,8 @@ def exact_median_by(
         live = _inside(counted, state, keys, few_groups)
     elif rescan and weight is None:
         live = _between_marks(counted, keys, few_groups, ROW_SHARES, ROW_ACCURACY, rounds=1)
+    elif few_groups:
+        live = _between_fine_marks(counted, keys)
     else:
         live = _between_marks(counted, keys, few_groups, VALUE_SHARES, VALUE_ACCURACY, VALUE_ROUNDS)
     if rescan:
@@ -222,6 +226,23 @@ def _between_marks(
     return live.select(*keys, "_value", "_count", "_nth")
 
 
+def _between_fine_marks(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """As ``_between_marks``, in one round of 255 marks for few groups: each value looks its part up by halves."""
+    shares = [i / (2 * FINE_STEPS[0]) for i in range(1, 2 * FINE_STEPS[0])]
+    placed = counted.withColumn("_at", F.expr(PLACE))
+    marks = placed.groupBy(*keys).agg(
+        F.percentile_approx("_at", shares, FINE_ACCURACY).alias("_marks"),
+        F.expr("ceil(CAST(sum(_count) AS DECIMAL(38, 0)) / 2)").alias("_nth"),
+    )
+    seen = _told(placed, marks, keys, few_groups=True).withColumn("_part", F.lit(0))
+    for step in FINE_STEPS:
+        seen = seen.withColumn("_part", F.expr(f"_part + CASE WHEN _at > get(_marks, _part + {step - 1}) THEN {step} ELSE 0 END"))
+    sums = seen.groupBy(*keys, "_part").agg(F.sum("_count").alias("_count"), F.first("_nth").alias("_nth"))
+    held = _holding_nth(sums, keys, "_part").selectExpr(*[f"`{k}`" for k in keys], "_part AS _held", "_nth - _before AS _nth")
+    live = _told(seen.drop("_nth"), held, keys, True, "coalesce(_part = _held, false)")
+    return live.select(*keys, "_value", "_count", "_nth")
+
+
 def _holding_nth(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Per group the row, by ``order``, in which the running count reaches ``_nth``; adds the count before it."""
     window = f"PARTITION BY {_listed(keys)} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"

@@ -184,6 +184,7 @@ def test_what_is_ranked_for_a_median_is_a_small_share(spark, rescan):
         F.lit("a").alias("k"), (1 + F.col("id") * 1e-12).alias("v"), F.lit(1).alias("_count"), F.col("id")
     ).union(spark.sql("SELECT 'a', 1e300D, 1, 400000L"))
     rows = rows.select("k", F.col("v").alias("_value"), "_count")
+    assert 0 < rollups._between_fine_marks(rows, ["k"]).count() <= 0.006 * 400_001
     shares = (rollups.ROW_SHARES, rollups.ROW_ACCURACY, 1) if rescan else (rollups.VALUE_SHARES, rollups.VALUE_ACCURACY, rollups.VALUE_ROUNDS)
     live = rollups._between_marks(rows, ["k"], True, *shares)
     assert 0 < live.count() <= 0.0012 * 400_001
