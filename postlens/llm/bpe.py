@@ -22,9 +22,31 @@ from postlens.llm.common import whole_text
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+# Letters and numbers of Unicode 16, first and last code point of each range, and lower-case forms, for
+# Python versions whose own tables end before it.
+NEWER = {
+    "L": [
+        (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+        (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+        (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA),
+        (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+    ],
+    "N": [
+        (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+        (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+    ],
+}
+NEWER_LOWER = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB,
+    0xA7DC: 0x019B, **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
+
+
 def _category(first: str) -> str:
     """The ranges of the characters whose Unicode category begins with a letter, as the inside of a pattern's class."""
     has = np.array([unicodedata.category(chr(c))[0] == first for c in range(sys.maxunicode + 1)] + [False])
+    for start, end in NEWER[first]:
+        has[start : end + 1] = True
     edges = np.flatnonzero(np.diff(has.astype(np.int8), prepend=0)).reshape(-1, 2)
     return "".join(f"\\U{start:08x}-\\U{end - 1:08x}" for start, end in edges)
 
@@ -42,6 +64,7 @@ KNOWN_CHUNKS = 400_000  # encoded chunks a task keeps; past that it starts anew,
 CHUNKS_AT_ONCE = 20_000
 TEXTS_AT_ONCE = 128
 NONE = np.iinfo(np.int64).max
+FEW_WORDS = 48  # words whose trees advance one after the other: array calls pay for many at once
 
 
 def byte_symbols() -> list[str]:
@@ -70,6 +93,8 @@ class Bpe:
         order = np.argsort(pairs, kind="stable")
         self.pairs, self.ranks = pairs[order], order
         self.merged = np.array([vocabulary[a + b] for a, b in merges], dtype=np.int64)
+        self.rank_of = dict(zip(self.pairs.tolist(), self.ranks.tolist(), strict=True))
+        self.merged_of = self.merged.tolist()
         self.ids: dict[str, str] = {}
         self.texts: dict[str, str] = {}
 
@@ -123,6 +148,54 @@ class Bpe:
                     tree[row, up] = np.minimum(tree[row, 2 * up], tree[row, 2 * up + 1])
                     touched[i] = up
 
+    def _merge_one(self, symbols: list[int]) -> list[int]:
+        """What ``_merge`` does, for one row and in plain whole numbers: a word of any length in some steps a merge."""
+        n = len(symbols)
+        width = 1 << max(1, (n - 1).bit_length())
+        none, rank_of, merged_of = int(NONE), self.rank_of, self.merged_of
+        tree = [none] * (2 * width)
+        for i in range(n - 1):
+            rank = rank_of.get((symbols[i] << 32) + symbols[i + 1])
+            if rank is not None:
+                tree[width + i] = rank * width + i
+        for node in range(width - 1, 0, -1):
+            a, b = tree[2 * node], tree[2 * node + 1]
+            tree[node] = a if a < b else b
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+
+        def put(place: int, key: int) -> None:
+            node = width + place
+            if tree[node] == key:
+                return
+            tree[node] = key
+            node >>= 1
+            while node:
+                a, b = tree[2 * node], tree[2 * node + 1]
+                least = a if a < b else b
+                if tree[node] == least:
+                    return
+                tree[node] = least
+                node >>= 1
+
+        def renew(place: int, left: int, right: int) -> None:
+            rank = rank_of.get((left << 32) + right)
+            put(place, none if rank is None else rank * width + place)
+
+        while tree[1] != none:
+            rank, place = divmod(tree[1], width)
+            gone = after[place]
+            follower, leader, new = after[gone], before[place], merged_of[rank]
+            symbols[place], symbols[gone], after[place] = new, -1, follower
+            put(gone, none)
+            if follower < n:
+                before[follower] = place
+                renew(place, new, symbols[follower])
+            else:
+                put(place, none)
+            if leader >= 0:
+                renew(leader, symbols[leader], new)
+        return [s for s in symbols if s >= 0]
+
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
         """The token ids of each distinct word. Words of like length share one array."""
         out: dict[str, list[int]] = {}
@@ -134,6 +207,12 @@ class Bpe:
             step = max(1, (1 << 21) >> bits)  # bounds the arrays
             for start in range(0, len(group), step):
                 part = group[start : start + step]
+                if len(part) < FEW_WORDS:
+                    for word, raw in part:
+                        inner = self.inner[np.frombuffer(raw, np.uint8)].tolist()
+                        inner[-1] = int(self.final[raw[-1]])
+                        out[word] = self._merge_one(inner)
+                    continue
                 lengths = np.array([len(raw) for _, raw in part])
                 symbols = np.full((len(part), 1 << bits), -1, dtype=np.int64)
                 symbols[np.arange(1 << bits) < lengths[:, None]] = self.inner[np.frombuffer(b"".join(r for _, r in part), np.uint8)]
@@ -197,7 +276,7 @@ def normal_words(chunk: str) -> list[str]:
     """A chunk's words: composed, lower-cased character by character, and cut by the pattern."""
     if chunk.isascii():
         return ASCII_PIECE.findall(chunk.lower())
-    return PIECE.findall(unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower())
+    return PIECE.findall(unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower().translate(NEWER_LOWER))
 
 
 @lru_cache(maxsize=4)
@@ -227,7 +306,8 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id`` and ``ids``, the token ids of the whole text as an array of int.
 
     As the tokenizers library encodes with the file at ``path`` without adding special tokens; those in a text are tokens
-    all the same. A null or empty text, or one of white space, has none. Null and repeated ids pass through; columns
+    all the same. A null or empty text, or one of white space, has none; a text of any length is encoded whole, also one
+    that is a single word. Null and repeated ids pass through; columns
     besides ``doc_id`` and ``text`` are not read. Each row is worked on alone, so nothing is shuffled.
     """
 
@@ -250,19 +330,24 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select(F.col("doc_id").cast("string").alias("id"), "ids").mapInPandas(decode, "doc_id long, text string")
 
 
-def token_digests(docs: DataFrame, path: str) -> DataFrame:
-    """What ``encode_documents`` and ``decode_documents`` give, as counts and digests, so that no ids leave the task."""
+def token_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """What ``encode_documents`` and ``decode_documents`` give, as counts and digests: no ids leave the task.
+
+    ``with_ids`` adds the ``ids`` themselves. Edge cases as in ``encode_documents``.
+    """
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sha = lambda text: hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
         for ids, found in _each(path, batches):
-            yield pd.DataFrame(
-                {
-                    "doc_id": pd.array(ids, dtype="Int64"),
-                    "n_tokens": [t.count(" ") + 1 if t else 0 for t, _ in found],
-                    "ids_sha256": [sha(t) for t, _ in found],
-                    "decoded_sha256": [sha(d) for _, d in found],
-                }
-            )
-
-    return _input(docs).mapInPandas(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            told = {
+                "doc_id": pd.array(ids, dtype="Int64"),
+                "n_tokens": [t.count(" ") + 1 if t else 0 for t, _ in found],
+                "ids_sha256": [sha(t) for t, _ in found],
+                "decoded_sha256": [sha(d) for _, d in found],
+            }
+            if with_ids:
+                told["ids"] = [np.array(t.split(), dtype=np.int32) for t, _ in found]
+            yield pd.DataFrame(told)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return _input(docs).mapInPandas(digest, schema)
