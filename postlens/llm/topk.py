@@ -13,6 +13,7 @@ from postlens.llm.common import mixed, settle
 
 SCALE = 1024
 PIVOTS = 48
+PIVOT_SAMPLE = 2048  # vectors that pivots are chosen from
 ROWS_PER_BLOCK = 2048  # vectors in one candidate block
 QUERIES_PER_BLOCK = 256
 BLOCKS_PER_TASK = 4  # candidate blocks that meet one block of queries in one group
@@ -20,12 +21,12 @@ FIRST_CHUNK = 64  # candidates evaluated at first, in the order of their bounds;
 EXACT = float(1 << 52)  # sums below this are exact in doubles
 LONGEST = (1 << 63) - 1
 
-BLOCK = "block long, ids binary, dims int, parts binary, distances binary, squares binary"
-HIT = "query_id long, vec_id long, score long"
+BLOCK = "block long, ids binary, hashes binary, dims int, parts binary, distances binary, squares binary"
+HIT = "query_id long, query_hash long, vec_id long, score long"
 
 
 def usable(table: DataFrame, vector: str = "embedding") -> DataFrame:
-    """``vec_id`` and integer components ``floor(1024 * x)`` as doubles of the vectors that take part.
+    """``vec_id``, integer components ``floor(1024 * x)`` as doubles, and their hash, of the vectors that take part.
 
     A null vector, or one that holds a null or a non-finite component, takes none; nor does a row without an id.
     """
@@ -33,7 +34,7 @@ def usable(table: DataFrame, vector: str = "embedding") -> DataFrame:
     whole = F.transform(vector, lambda x: F.rint(F.floor(x.cast("double") * SCALE).cast("double")))
     return table.where(F.col(vector).isNotNull() & F.col("vec_id").isNotNull() & fine).select(
         F.col("vec_id").cast("long").alias("vec_id"), whole.alias("parts")
-    )
+    ).withColumn("hash", F.xxhash64("parts"))
 
 
 def _matrix(parts: pd.Series, dims: int) -> np.ndarray:
@@ -45,9 +46,18 @@ def _matrix(parts: pd.Series, dims: int) -> np.ndarray:
 
 
 def choose_pivots(vectors: DataFrame, dims: int, pivots: int) -> np.ndarray:
-    """Some vectors, by least hashed id: any choice is right, it only decides how much gets eliminated."""
-    chosen = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).toPandas()
-    return _matrix(chosen["parts"], dims)
+    """Vectors far from one another: any choice is right, it only decides how much gets eliminated.
+
+    Of ``PIVOT_SAMPLE`` vectors with the least hashed ids each pivot is the one farthest from those chosen before.
+    """
+    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("parts")).limit(PIVOT_SAMPLE).toPandas()
+    known = _matrix(sample["parts"], dims)
+    chosen = [0]
+    near = distances_to(known[:1], known)[:, 0]
+    while len(chosen) < min(pivots, len(known)):
+        chosen.append(int(near.argmax()))
+        near = np.minimum(near, distances_to(known[chosen[-1:]], known)[:, 0])
+    return known[chosen]
 
 
 def distances_to(pivots: np.ndarray, parts: np.ndarray) -> np.ndarray:
@@ -68,6 +78,7 @@ def pack(vectors: DataFrame, pivots: np.ndarray, dims: int, rows: int) -> DataFr
                     {
                         "block": [first],
                         "ids": [ids.tobytes()],
+                        "hashes": [part["hash"].to_numpy(np.int64).tobytes()],
                         "dims": [dims],
                         "parts": [parts.tobytes()],
                         "distances": [distances_to(pivots, parts).tobytes()],
@@ -79,9 +90,9 @@ def pack(vectors: DataFrame, pivots: np.ndarray, dims: int, rows: int) -> DataFr
 
 
 def _unpacked(row) -> tuple[np.ndarray, ...]:
-    ids = np.frombuffer(row.ids, dtype=np.int64)
+    ids, hashes = np.frombuffer(row.ids, dtype=np.int64), np.frombuffer(row.hashes, dtype=np.int64)
     shaped = lambda raw: np.frombuffer(raw).reshape(len(ids), -1)
-    return ids, shaped(row.parts), shaped(row.distances), np.frombuffer(row.squares)
+    return ids, shaped(row.parts), shaped(row.distances), np.frombuffer(row.squares), hashes
 
 
 def _scores(query: np.ndarray, parts: np.ndarray) -> np.ndarray:
@@ -125,8 +136,9 @@ def exact_top_k(table: DataFrame, every: int = 100, k: int = 10, pivots: int = P
     """The k highest inner products of each query with every other vector, ties to the smaller id.
 
     Queries are the rows whose ``vec_id`` is divisible by ``every``. Vectors are made whole by ``floor(1024 * x)``; null
-    vectors and those with null or non-finite components take no part, shorter ones count as filled up with zeros. A
-    query's own id is no candidate, also where it is repeated; other repeated ids are candidates each. With fewer than k
+    vectors and those with null or non-finite components take no part, shorter and empty ones count as filled up with
+    zeros. A query's own id is no candidate, also where it is repeated; other repeated ids are candidates each. Different
+    vectors under one query id are queries each, with ranks of their own; equal ones are one query. With fewer than k
     candidates all are returned; an empty table gives no rows. Products beyond a long are held to its range. Extra columns
     are not read.
 
@@ -135,12 +147,13 @@ def exact_top_k(table: DataFrame, every: int = 100, k: int = 10, pivots: int = P
     ranked again. Hot vectors make no hot key, as blocks are cut by row.
     """
     vectors = settle(usable(table), "vectors")
-    dims = vectors.agg(F.max(F.size("parts"))).first()[0] or 0
-    if not dims:
+    longest = vectors.agg(F.max(F.size("parts"))).first()[0]
+    if longest is None:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    dims = max(1, longest)
     chosen = choose_pivots(vectors, dims, pivots)
     candidates = pack(vectors, chosen, dims, ROWS_PER_BLOCK)
-    asked = vectors.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]).repartitionByRange("vec_id")
+    asked = vectors.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "parts"]).repartitionByRange("vec_id")
     queries = pack(asked, chosen, dims, QUERIES_PER_BLOCK)
     groups = max(1, -(-candidates.count() // BLOCKS_PER_TASK))
 
@@ -152,20 +165,20 @@ def exact_top_k(table: DataFrame, every: int = 100, k: int = 10, pivots: int = P
     right = numbered(queries, wide, "query_group").withColumn("candidate_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
     def search(key: tuple, mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int, int]] = []
+        found: list[tuple[int, int, int, int]] = []
         asked_blocks = [_unpacked(row) for row in theirs.itertuples()]
         held = [_unpacked(row) for row in mine.itertuples()]
-        together = tuple(np.concatenate(x) for x in zip(*held, strict=True)) if held else None
-        for ids, parts, distances, squares in asked_blocks if together else []:
+        together = tuple(np.concatenate(x) for x in zip(*held, strict=True))[:4] if held else None
+        for ids, parts, distances, squares, hashes in asked_blocks if together else []:
             for i in range(len(ids)):
                 for score, minus in best_of(int(ids[i]), parts[i], distances[i], squares[i], together, k):
-                    found.append((int(ids[i]), -minus, score))
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+                    found.append((int(ids[i]), int(hashes[i]), -minus, score))
+        return pd.DataFrame(found, columns=["query_id", "query_hash", "vec_id", "score"])
 
     by = ["query_group", "candidate_group"]
     hits = left.withColumn("query_group", F.col("query_group").cast("long")).groupBy(*by).cogroup(
         right.withColumn("candidate_group", F.col("candidate_group").cast("long")).groupBy(*by)
     )
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id")
     best = hits.applyInPandas(search, HIT).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
