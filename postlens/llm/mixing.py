@@ -216,7 +216,8 @@ def mix(
 def keep_mixed(
     docs: DataFrame, targets: Targets | None = None, kept_share: float = KEPT_SHARE, lower_total: bool = False
 ) -> DataFrame:
-    """The documents that ``mix`` keeps, with all their columns."""
+    """The documents that ``mix`` keeps, with all their columns. Edge cases as there; of rows equal in id and text all
+    stay or none."""
     id_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
     kept = mix(docs, targets, kept_share, lower_total=lower_total).where("kept").select(id_key("doc_id").alias("id"), "digest").distinct()
     own = [F.col(c) for c in docs.columns]

@@ -171,7 +171,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not rejected, with all their columns.
+    """The documents that are not rejected, with all their columns. Edge cases as in ``score_quality``.
 
     The model is fitted in one pass over the texts; the second pass, which keeps or drops, needs no join and no shuffle.
     """
