@@ -1,4 +1,9 @@
-"""The corpus pipeline: stages over the documents, each written as a table before the next reads it."""
+"""The corpus pipeline: stages over the documents, each written as a table before the next reads it.
+
+In every stage a null or empty text is a text without words, a text of any length is worked on whole, and null or repeated
+ids are allowed. All stages but the last return whole rows with the columns they were given, whatever these are called; an
+empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -20,28 +25,36 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go; it learns from the labels of these documents."""
+    """Documents that the quality classifier rejects go; it learns from the labels of these documents.
+
+    Without labels of both classes nothing can be learned, and all stay. Rows repeated under one id are scored each.
+    """
     return keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+    """One document of each group of equal texts stays: the longest, then that of the least id; a null id comes last. All
+    empty texts are one group."""
     return keep_distinct(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays."""
+    """One document of each class of near duplicates stays, that of the least id; a null id comes last. Texts without
+    words are only like equal ones."""
     return keep_one_per_class(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with languages at their target weights, sources and topics tempered, as large as these allow."""
+    """A sample with languages at their target weights, sources and topics tempered, as large as these allow.
+
+    A null source or language is a value like any other; documents without tokens weigh nothing.
+    """
     return keep_mixed(docs, MIX_TARGETS, lower_total=True)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
-    return token_digests(docs, public_tokenizers.path(TOKENIZER))
+    """Token ids of what is left, with their counts and digests; a row per document, without tokens an empty array."""
+    return token_digests(docs, public_tokenizers.path(TOKENIZER), with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
