@@ -15,8 +15,9 @@ from pyspark.sql.types import StringType
 
 from postlens.functions.text import lenient_number
 from postlens.functions.values import AGE_BANDS, band, in_years, year_of
-from postlens.operators.joins import argmax_rows, tally
+from postlens.operators.joins import argmax_rows, join_places, join_users, tally
 from postlens.operators.rollups import (
+    approx_median_by,
     counts_by,
     exact_median_by,
     top_n_per_group,
@@ -75,10 +76,10 @@ def top_category_by_age_band(
 
 
 def median_followers_by_age_band(
-    posts: DataFrame, places: DataFrame, users: DataFrame, bands=AGE_BANDS
+    posts: DataFrame, places: DataFrame, users: DataFrame, bands=AGE_BANDS, accuracy: int | None = None
 ) -> DataFrame:
-    """Q8: median follower count per age band."""
-    return _median_followers(posts, places, banded(users, bands), ["age_group"])
+    """Q8: median follower count per age band; ``accuracy`` as in ``_median_followers``."""
+    return _median_followers(posts, places, banded(users, bands), ["age_group"], accuracy)
 
 
 def median_followers_by_age_band_and_count(
@@ -97,11 +98,15 @@ def users_joined_by_year(users: DataFrame, years: tuple[int, int] = JOIN_YEARS)
 
 
 def median_followers_by_join_year(
-    posts: DataFrame, places: DataFrame, users: DataFrame, years: tuple[int, int] = JOIN_YEARS
+    posts: DataFrame,
+    places: DataFrame,
+    users: DataFrame,
+    years: tuple[int, int] = JOIN_YEARS,
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """Q10: median of the known follower counts per join year."""
+    """Q10: median of the known follower counts per join year; ``accuracy`` as in ``_median_followers``."""
     counted = posts.where(F.col("follower_count").isNotNull())
-    return _median_followers(counted, places, by_join_year(users, years), ["post_year"])
+    return _median_followers(counted, places, by_join_year(users, years), ["post_year"], accuracy)
 
 
 def median_followers_by_band_and_join_year(
@@ -110,9 +115,12 @@ def median_followers_by_band_and_join_year(
     users: DataFrame,
     years: tuple[int, int] = JOIN_YEARS,
     bands=AGE_BANDS,
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """Q11: median follower count per age band and join year; NULL where none is known."""
-    return _median_followers(posts, places, banded(by_join_year(users, years), bands), ["age_group", "post_year"])
+    """Q11: median follower count per age band and join year; NULL where none is known; ``accuracy`` as in
+    ``_median_followers``."""
+    users = banded(by_join_year(users, years), bands)
+    return _median_followers(posts, places, users, ["age_group", "post_year"], accuracy)
 
 
 def banded(users: DataFrame, bands=AGE_BANDS) -> DataFrame:
@@ -151,8 +159,17 @@ def weighted_followers(posts: DataFrame, places: DataFrame, users: DataFrame, gr
     return rows.select(*groups, "follower_count", times.cast("decimal(38,0)").alias("_weight"))
 
 
-def _median_followers(posts: DataFrame, places: DataFrame, users: DataFrame, groups: list[str]) -> DataFrame:
-    """Lower median of the follower counts per group over the three sets joined; the groups are bands and years."""
+def _median_followers(
+    posts: DataFrame, places: DataFrame, users: DataFrame, groups: list[str], accuracy: int | None = None
+) -> DataFrame:
+    """Lower median of the follower counts per group over the three sets joined; the groups are bands and years.
+
+    With an ``accuracy`` it is the sketch's median over the joined rows themselves, off by 1/accuracy of a group's rows in
+    rank: one shuffle of small sketches after the joins, but rows multiply where keys repeat.
+    """
+    if accuracy is not None:
+        rows = join_users(users, join_places(posts.select("ind", "follower_count"), places.select("ind")))
+        return approx_median_by(rows, groups, "follower_count", "median_follower_count", accuracy)
     weighted = weighted_followers(posts, places, users, groups)
     return exact_median_by(
         weighted, groups, "follower_count", "median_follower_count", weight="_weight", few_groups=True

@@ -109,6 +109,13 @@ def test_median_by_age_band(frames):
     assert got == expect(("18-24", 60), ("25-35", 5000), ("36-50", 700), ("+50", None), (None, 40))
 
 
+def test_median_by_sketch_is_the_exact_one_of_few_rows(frames):
+    for name in ("median_followers_by_age_band", "median_followers_by_join_year", "median_followers_by_band_and_join_year"):
+        report = getattr(insights, name)
+        columns = [c for c in ("age_group", "post_year", "median_follower_count") if c in report(*frames).columns]
+        assert rows(report(*frames, accuracy=10_000), *columns) == rows(report(*frames), *columns)
+
+
 def test_median_by_age_band_and_count(frames, mode):
     df = insights.median_followers_by_age_band_and_count(*frames)
     got = rows(df, "age_group", "follower_count", "median_follower_count")
