@@ -20,7 +20,7 @@ from postlens.llm.periodic_runs import planted, run_report
 from postlens.llm.quality import score_quality
 from postlens.llm.sharding import shard_documents
 from postlens.llm.topk import exact_top_k
-from postlens.llm.url_filter import filter_urls, urls_with_names
+from postlens.llm.url_filter import filter_urls, urls_to_list
 
 TOKENIZER = "word_bpe_49k.json"
 # Languages to given weights, others than these, sources and topics to their tempered shares.
@@ -62,7 +62,7 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
-    return filter_urls(pages, urls_with_names(pages)).drop("possible", "listed")
+    return filter_urls(pages, urls_to_list(pages)).drop("possible", "listed")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,20 +123,22 @@ SQL: dict[str, str] = {
             vec_id, score
         FROM scored QUALIFY rank <= 10""",
     "op9_url_filter": r"""WITH a AS (
-            SELECT page_id,
+            SELECT page_id, len(regexp_extract_all(html, '[*]{3}|#{3}|[$]{3}|%{3}|(?:&amp;){3}')) AS marks,
+                len(regexp_extract_all(html, ' ')) AS blanks,
                 CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
             FROM pages),
-        b AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM a),
+        b AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM a),
         c AS (
-            SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            SELECT *, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                 regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
             FROM b),
         d AS (
             SELECT *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(\.html?|/+)$', '') AS canonical
             FROM c),
         listed AS (
-            SELECT DISTINCT canonical FROM d
-            WHERE regexp_matches(host, '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.')),
+            SELECT DISTINCT canonical FROM d WHERE host <> '' AND (
+                regexp_matches(host, '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.')
+                OR marks > 0 AND 10 * marks >= blanks)),
         e AS (
             SELECT *, CASE
                 WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'

@@ -16,9 +16,11 @@ RULES = [
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 ]
-# Names in a host whose URLs make up the list of the registered query: the bad hosts of the test data. On pages with other
-# bad hosts that list is empty; ``filter_urls`` takes any list.
+# Names in a host whose URLs are listed, whatever their pages hold: the bad hosts of the test data.
 LISTED_NAMES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+# A sign repeated three times is a junk mark; a page with one for every tenth blank, or more, is shown bad by what it holds.
+JUNK_MARK = r"[*]{3}|#{3}|[$]{3}|%{3}|(?:&amp;){3}"
+BLANKS_PER_MARK = 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 WORDS_PER_BLOCK = 8  # of 64 bits each
@@ -138,7 +140,22 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     )
 
 
-def urls_with_names(pages: DataFrame, names: list[str] = LISTED_NAMES) -> DataFrame:
-    """Canonical URLs of the pages whose host has one of the names between its dots, as a list for ``filter_urls``."""
-    named = F.col("host").rlike(rf"(^|\.)({'|'.join(names)})\.")
-    return with_host_and_path(pages.select("url")).where(named).select(canonical_url().alias("listed_url"))
+def shown_bad(html: str = "html") -> Column:
+    """Whether a page's html is full of junk marks. Asked of the whole html; a null or empty one shows nothing."""
+    text = F.coalesce(F.col(html), F.lit(""))
+    marks, blanks = F.regexp_count(text, F.lit(JUNK_MARK)), F.regexp_count(text, F.lit(" "))
+    return (marks > 0) & (marks * BLANKS_PER_MARK >= blanks)
+
+
+def urls_to_list(pages: DataFrame, names: list[str] = LISTED_NAMES) -> DataFrame:
+    """Canonical URLs of bad pages, as a list for ``filter_urls``; repeats stay in.
+
+    A page is bad if its host has one of the names between its dots, or if its html shows it. As the list holds canonical
+    URLs, all spellings of a bad page's URL are listed with it, also those whose own html was clean when it was read. A url
+    without a host names no page and is not listed. Columns besides ``url`` and ``html`` are not read.
+    """
+    read = with_host_and_path(pages.select("url", "html"))
+    bad = shown_bad()
+    if names:
+        bad = F.col("host").rlike(rf"(^|\.)({'|'.join(names)})\.") | bad
+    return read.where((F.col("host") != "") & bad).select(canonical_url().alias("listed_url"))

@@ -53,6 +53,32 @@ def test_urls(spark):
     assert url_filter.filter_urls(pages.limit(0), listed.limit(0)).count() == 0
 
 
+def test_the_list_comes_from_what_pages_hold(spark):
+    """Junk html lists all spellings of its URL; clean html none, on whatever host; names list without any html."""
+    junk, clean = "<p>one*** two### three&amp;&amp;&amp; four%%%", "<p>" + "a plain word ** of 5% " * 20
+    rows = [("http://www.a.org/x.html?y", junk), ("https://a.org/x/", clean), ("http://a.org/y", clean), (None, junk), ("junk", junk)]
+    rows += [("http://b.spam-farm.c.org/" + "z" * 100_000, None), ("http://c.org/", ""), ("http://d.org/", clean + " ***")]
+    rows += [("http://e.org/#t", "***"), ("http://e.org", None), ("http://e.org", None)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    pages = pages.withColumns({"host": F.lit("x"), "listed_url": F.lit("y"), "canonical": F.lit("z")})
+    listed = url_filter.urls_to_list(pages)
+    assert sorted({r.listed_url for r in listed.collect()}) == ["a.org/x", "b.spam-farm.c.org/" + "z" * 100_000, "e.org"]
+    blocked = {r.page_id for r in url_filter.filter_urls(pages, listed).collect() if r.verdict == "block"}
+    assert blocked == {0, 1, 5, 8, 9, 10}
+    assert url_filter.urls_to_list(pages.limit(0)).count() == 0
+    assert "b.spam-farm" not in str(url_filter.urls_to_list(pages, names=[]).collect())
+
+
+def test_the_filter_drops_no_page_and_stops_most(spark):
+    """A listed page is always possible, few others are, and what is listed is exactly the join."""
+    pages = spark.range(20_000).selectExpr("id AS page_id", "concat('http://h', id % 50, '.org/', id) AS url")
+    listed = pages.where("page_id % 7 = 0").selectExpr("concat('h', page_id % 50, '.org/', page_id) AS listed_url")
+    got = url_filter.filter_urls(pages, listed).selectExpr("page_id % 7 = 0 AS bad", "possible", "listed").collect()
+    assert len(got) == 20_000
+    assert all(r.listed == r.bad and (r.possible or not r.bad) for r in got)
+    assert sum(r.possible and not r.bad for r in got) < 200
+
+
 def test_chats(spark):
     rows = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, "assistant", "yes"), (2, 1, "assistant", "yes")]
     rows += [(3, 5, "user", "hi"), (3, 9, "assistant", "yes"), (4, 0, "user", "hi"), (4, 1, "assistant", "no")]
