@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import oracle
 import public_tokenizers
 import pytest
@@ -41,6 +42,44 @@ def test_every_query_is_answered(spark):
     assert got == [(100, 1, 7, 0), (100, 2, 200, 0), (200, 1, 7, 0), (200, 2, 100, 0)]
 
 
+@pytest.mark.parametrize("clusters", [1, 12])
+def test_top_k_is_brute_force_on_few_and_many_blocks(spark, monkeypatch, clusters):
+    """Small blocks; one place or twelve far from each other, a third of the rows one vector, ids repeated."""
+    for name, size in (("ROWS_PER_BLOCK", 40), ("QUERIES_PER_BLOCK", 7), ("BRIEFS_PER_TASK", 9), ("PIVOT_SAMPLE", 300)):
+        monkeypatch.setattr(topk, name, size)
+    random = np.random.default_rng(5)
+    centres = random.normal(size=(clusters, 8)) * 6
+    vectors = centres[random.integers(0, clusters, 1500)] + random.normal(size=(1500, 8)) * 0.2
+    vectors[::3] = centres[0]
+    ids = [int(i) % 1400 for i in range(1500)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<double>")
+    whole = [tuple(int(np.floor(1024 * x)) for x in v) for v in vectors]
+    asked = {(i, v) for i, v in zip(ids, whole, strict=True) if i % 100 == 0}
+    wanted = []
+    for query, own in asked:
+        scores = sorted((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in zip(ids, whole, strict=True) if i != query)
+        wanted += [(query, rank, i, -minus) for rank, (minus, i) in enumerate(scores[:10], 1)]
+    got = [tuple(r) for r in topk.exact_top_k(table).collect()]
+    assert sorted(got) == sorted(wanted)
+
+
+def test_blocks_out_of_reach_do_not_meet(spark):
+    """Of two far places only the one of the queries is shipped to them."""
+    random = np.random.default_rng(6)
+    sides = np.where(np.arange(6000)[:, None] < 3000, 1.0, -1.0) * np.eye(16)[0] * 20
+    vectors = sides + random.normal(size=(6000, 16)) * 0.1
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    given = topk.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    met = topk.first_met(given, 16)
+    pivots = topk.choose_pivots(met[1], 8)
+    candidates = topk.pack(topk.by_nearest_pivot(given, pivots, 16), pivots, 16, 100)
+    asked = given.where("vec_id < 3000 AND vec_id % 100 = 0")
+    queries = topk.pack(topk.by_nearest_pivot(asked, pivots, 16), pivots, 16, 100, met, 10)
+    met_blocks = {r.block for r in topk.meetings(candidates, queries).collect()}
+    own = {r.block for r in candidates.collect() if np.frombuffer(r.ids, dtype=np.int64).min() < 3000}
+    assert met_blocks <= own and 0 < len(own) < candidates.count()
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "HTTP://WWW.Spam.Org/a/?x#y", "https://spam.org/a.html", "a://b://c/d", "http://x.net?q", "http://x.net/q"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("rule", F.lit(1))
