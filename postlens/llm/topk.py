@@ -202,8 +202,8 @@ def best_of(
     """
     ids, parts, distances, squares = held
     bounds = _highest(squares, square, np.abs(distances - far[None, :]).max(1))
-    order = np.argsort(-bounds, kind="stable")
-    order = order[(ids[order] != query_id) & (bounds[order] >= floor)]
+    left = np.flatnonzero((bounds >= floor) & (ids != query_id))
+    order = left[np.argsort(-bounds[left], kind="stable")]
     best: list[tuple[int, int]] = []
     start, chunk = 0, FIRST_CHUNK
     while start < len(order):
