@@ -19,12 +19,13 @@ QUERIES_PER_BLOCK = 2048
 BLOCKS_PER_TASK = 2  # candidate blocks that meet one block of queries in one group
 BRIEFS_PER_TASK = 4096  # blocks of each side whose bounds are compared in one task
 FIRST_CHUNK = 64  # candidates evaluated at first, in the order of their bounds; each further step takes twice as many
+FLATTEST = 1e-4  # an axis of the pivots shorter than this, against the longest, is left out
 EXACT = float(1 << 52)  # sums below this are exact in doubles
 LONGEST = (1 << 63) - 1
 LEAST = float(-LONGEST - 1)
 
 BLOCK = (
-    "ids binary, hashes binary, parts binary, distances binary, squares binary, floors binary, "
+    "ids binary, hashes binary, parts binary, places binary, squares binary, floors binary, "
     "near binary, far binary, square double, floor double"
 )
 HIT = "query_id long, query_hash long, vec_id long, score long"
@@ -74,6 +75,23 @@ def distances_to(pivots: np.ndarray, parts: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0))
 
 
+def places_from(distances: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """What distances to all pivots tell of a vector's place: coordinates along the pivots' axes, and the height over them.
+
+    The distance of two places is the greatest lower bound of their vectors' distance that the table of distances gives,
+    never below the widest gap to a single pivot: known are the components along the pivots' span and the length of the
+    rest, and rests may point the same way. The difference of two squared distances is linear in the vector, so the axes
+    come from the pivots' singular vectors; leaving a flat one out only lowers the bound.
+    """
+    spread = pivots[1:] - pivots[0]
+    left, lengths, _ = np.linalg.svd(spread, full_matrices=False)
+    used = lengths > FLATTEST * lengths.max(initial=0)
+    squares = distances**2
+    along = (squares[:, :1] - squares[:, 1:] + (spread**2).sum(1)) / 2 @ (left[:, used] / lengths[used])
+    height = np.sqrt(np.maximum(squares[:, 0] - (along**2).sum(1), 0))
+    return np.column_stack([along, height])
+
+
 def by_nearest_pivot(vectors: DataFrame, pivots: np.ndarray, dims: int) -> DataFrame:
     """The vectors in the order of their nearest pivot and their distance to it, so that a block holds like ones.
 
@@ -104,7 +122,7 @@ def floors_of(ids: np.ndarray, parts: np.ndarray, met: tuple[np.ndarray, np.ndar
 def pack(
     vectors: DataFrame, pivots: np.ndarray, dims: int, rows: int, met: tuple[np.ndarray, np.ndarray] | None = None, k: int = 0
 ) -> DataFrame:
-    """Blocks of up to ``rows`` vectors with ids, components, squared lengths and distances to every pivot.
+    """Blocks of up to ``rows`` vectors with ids, components, squared lengths and places among the pivots.
 
     In brief a block is its least and greatest distance to every pivot (``near``, ``far``), its greatest squared length and,
     for queries, which come with the vectors they meet first, its least floor.
@@ -122,7 +140,7 @@ def pack(
                         "ids": [ids.tobytes()],
                         "hashes": [part["hash"].to_numpy(np.int64).tobytes()],
                         "parts": [parts.tobytes()],
-                        "distances": [distances.tobytes()],
+                        "places": [places_from(distances, pivots).tobytes()],
                         "squares": [squares.tobytes()],
                         "floors": [floors.tobytes()],
                         "near": [distances.min(0).tobytes()],
@@ -139,16 +157,16 @@ def pack(
 def _unpacked(row) -> tuple[np.ndarray, ...]:
     ids, hashes = np.frombuffer(row.ids, dtype=np.int64), np.frombuffer(row.hashes, dtype=np.int64)
     shaped = lambda raw: np.frombuffer(raw).reshape(len(ids), -1)
-    return ids, shaped(row.parts), shaped(row.distances), np.frombuffer(row.squares), hashes, np.frombuffer(row.floors)
+    return ids, shaped(row.parts), shaped(row.places), np.frombuffer(row.squares), hashes, np.frombuffer(row.floors)
 
 
-def _highest(squares: np.ndarray, square: float, gap: np.ndarray) -> np.ndarray:
-    """Upper bounds of scores, from both squared lengths (or the greatest of a block) and the least distance.
+def _highest(squares: np.ndarray, square: float, apart: np.ndarray) -> np.ndarray:
+    """Upper bounds of scores, from both squared lengths (or the greatest of a block) and the least squared distance.
 
     The score is half of both squares less the squared distance. Some slack covers the rounding of roots and sums.
     """
     slack = 1 + 1e-9 * (squares + square)
-    bounds = np.minimum((squares + square - gap**2) / 2 + slack, np.sqrt(squares * square) + slack)
+    bounds = np.minimum((squares + square - apart) / 2 + slack, np.sqrt(squares * square) + slack)
     return np.maximum(bounds, LEAST)
 
 
@@ -174,7 +192,7 @@ def meetings(candidates: DataFrame, queries: DataFrame) -> DataFrame:
             near, far = (np.stack([np.frombuffer(raw) for raw in mine[name]]) for name in ("near", "far"))
             for row in theirs.itertuples():
                 gap = np.maximum(near - np.frombuffer(row.far), np.frombuffer(row.near) - far).max(1).clip(0)
-                reached = _highest(mine["square"].to_numpy(), row.square, gap) >= row.floor
+                reached = _highest(mine["square"].to_numpy(), row.square, gap**2) >= row.floor
                 out.append(pd.DataFrame({"block": mine["block"][reached], "query_block": row.block}))
         return pd.concat(out)
 
@@ -192,16 +210,17 @@ def _scores(query: np.ndarray, parts: np.ndarray) -> np.ndarray:
 
 
 def best_of(
-    query_id: int, query: np.ndarray, far: np.ndarray, square: float, held: tuple, k: int, floor: float = LEAST
+    query_id: int, query: np.ndarray, place: np.ndarray, square: float, held: tuple, k: int, floor: float = LEAST
 ) -> list[tuple[int, int]]:
     """A query's k best (score, -id) among a group's candidates, those below its floor left out or not.
 
-    By the triangle inequality the distance to a candidate is at least the largest difference of their distances to a
-    pivot, so the score has an upper bound. Candidates whose bound is below the floor are eliminated; the others are
-    evaluated in the order of that bound until the k-th score found exceeds every bound left.
+    The distance to a candidate is at least that of their places among the pivots, so the score has an upper bound.
+    Candidates whose bound is below the floor are eliminated; the others are evaluated in the order of that bound until the
+    k-th score found exceeds every bound left. ``held`` are the group's ids, components, places and squared lengths, and
+    the squared lengths of the places.
     """
-    ids, parts, distances, squares = held
-    bounds = _highest(squares, square, np.abs(distances - far[None, :]).max(1))
+    ids, parts, places, squares, spans = held
+    bounds = _highest(squares, square, np.maximum(spans + (place**2).sum() - 2 * (places @ place), 0))
     left = np.flatnonzero((bounds >= floor) & (ids != query_id))
     order = left[np.argsort(-bounds[left], kind="stable")]
     best: list[tuple[int, int]] = []
@@ -246,7 +265,7 @@ def exact_top_k(table: DataFrame, every: int = 100, k: int = 10, pivots: int = P
     queries = pack(by_nearest_pivot(asked, chosen, dims), chosen, dims, QUERIES_PER_BLOCK, met, k)
     groups = max(1, -(-candidates.count() // BLOCKS_PER_TASK))
     pairs = meetings(candidates, queries).withColumn("candidate_group", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    whole = ["ids", "hashes", "parts", "distances", "squares", "floors"]
+    whole = ["ids", "hashes", "parts", "places", "squares", "floors"]
     left = candidates.select("block", *whole).join(pairs, "block")
     reached = pairs.select(F.col("query_block").alias("asked_block"), F.col("candidate_group").alias("asked_group")).distinct()
     right = queries.select(F.col("block").alias("asked_block"), *whole).join(reached, "asked_block")
@@ -255,10 +274,11 @@ def exact_top_k(table: DataFrame, every: int = 100, k: int = 10, pivots: int = P
         found: list[tuple[int, int, int, int]] = []
         asked_blocks = [_unpacked(row) for row in theirs.itertuples()]
         held = [_unpacked(row) for row in mine.itertuples()]
-        together = tuple(np.concatenate(x) for x in zip(*held, strict=True))[:4] if held else None
-        for ids, parts, distances, squares, hashes, floors in asked_blocks if together else []:
+        together = [np.concatenate(x) for x in zip(*held, strict=True)][:4]
+        for ids, parts, places, squares, hashes, floors in asked_blocks if together else []:
+            group = (*together, (together[2] ** 2).sum(1))
             for i in range(len(ids)):
-                for score, minus in best_of(int(ids[i]), parts[i], distances[i], squares[i], together, k, floors[i]):
+                for score, minus in best_of(int(ids[i]), parts[i], places[i], squares[i], group, k, floors[i]):
                     found.append((int(ids[i]), int(hashes[i]), -minus, score))
         return pd.DataFrame(found, columns=["query_id", "query_hash", "vec_id", "score"])
 

@@ -80,6 +80,19 @@ def test_blocks_out_of_reach_do_not_meet(spark):
     assert met_blocks <= own and 0 < len(own) < candidates.count()
 
 
+@pytest.mark.parametrize("pivots", [1, 2, 7, 40])
+def test_places_bound_distances_at_least_as_well_as_single_pivots(pivots):
+    """Between the widest gap and the true distance, also where pivots repeat or are more than dimensions."""
+    random = np.random.default_rng(pivots)
+    vectors = np.floor(random.normal(size=(60, 10)) * 1024)
+    table = np.vstack([vectors[: pivots - pivots // 3], vectors[: pivots // 3]])
+    distances = topk.distances_to(table, vectors)
+    places = topk.places_from(distances, table)
+    for i, j in random.integers(0, 60, (200, 2)):
+        bound, true = np.linalg.norm(places[i] - places[j]), np.linalg.norm(vectors[i] - vectors[j])
+        assert np.abs(distances[i] - distances[j]).max() - 0.01 <= bound <= true + 0.01
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "HTTP://WWW.Spam.Org/a/?x#y", "https://spam.org/a.html", "a://b://c/d", "http://x.net?q", "http://x.net/q"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("rule", F.lit(1))
