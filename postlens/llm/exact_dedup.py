@@ -234,7 +234,8 @@ def exact_dedup(docs: DataFrame, history: Column | None = None) -> DataFrame:
 def keep_distinct(docs: DataFrame, history: Column | None = None) -> DataFrame:
     """The documents that ``exact_dedup`` keeps, with all their columns.
 
-    Of rows equal in id, text without blanks and code points, the one with the smallest text stays.
+    Of rows equal in id, text without blanks and code points, the one with the smallest text stays. Such rows, which may
+    be many where they have no id, are reduced in each task before they meet the kept ones.
     """
     _, best = winners(docs, history)
     own = [F.col(c) for c in docs.columns]
@@ -247,5 +248,5 @@ def keep_distinct(docs: DataFrame, history: Column | None = None) -> DataFrame:
     kept = best.select(
         "digest", F.col("keep_points").alias("points"), F.coalesce(F.col("keep_id").cast("string"), F.lit("-")).alias("id")
     )
-    once = keyed.join(kept, ["digest", "points", "id"]).groupBy("digest", "points", "id")
-    return once.agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row")).select("row.*")
+    once = keyed.groupBy("digest", "points", "id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
+    return once.join(kept, ["digest", "points", "id"], "left_semi").select("row.*")

@@ -387,5 +387,5 @@ def keep_one_per_class(docs: DataFrame) -> DataFrame:
     kept = settle(_per_class(found).select("best.node", _id_key("best.first_id").alias("id")), "kept")
     own = [F.col(c) for c in docs.columns]
     keyed = docs.select(F.struct(*own).alias("row"), F.md5(whole_text()).alias("node"), _id_key().alias("id"))
-    once = keyed.join(kept, ["node", "id"]).groupBy("node", "id").agg(F.first("row").alias("row"))
-    return once.select("row.*")
+    once = keyed.groupBy("node", "id").agg(F.first("row").alias("row"))  # in each task first, as many may have no id
+    return once.join(kept, ["node", "id"], "left_semi").select("row.*")
