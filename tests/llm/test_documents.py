@@ -482,22 +482,3 @@ def test_two_dense_groups_that_resemble_each_other(spark):
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
     assert [got[i] for i in range(len(texts))] == label
     assert len(set(label)) > 2
-
-
-@pytest.mark.parametrize("keep", [exact_dedup.keep_distinct, near_dedup.keep_one_per_class])
-def test_many_copies_without_an_id_are_reduced_before_they_are_shuffled(spark, keep):
-    """Half of all rows are one text without an id: one stays, and what is exchanged has been grouped in each task."""
-    text = "a line that has no id of its own " * 3
-    hot = spark.range(0, 4000, 1, 8).selectExpr("CAST(NULL AS LONG) AS doc_id", f"'{text}' AS text", "'h' AS source", "id AS node")
-    other = spark.range(0, 4000, 1, 8).selectExpr("id AS doc_id", "concat_ws(' ', md5(CAST(id AS STRING)), id) AS text", "'o' AS source", "id AS node")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        kept = keep(hot.union(other))
-        assert kept.columns == ["doc_id", "text", "source", "node"]
-        got = kept.groupBy("source").count().collect()
-        plan = kept._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sorted(tuple(r) for r in got) == [("h", 1), ("o", 4000)]
-    below = plan[plan.index("Join") :]
-    assert below.index("Aggregate") < below.index("Exchange hashpartitioning")
