@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from postlens.functions.records import decode_payload, iso_text, routed, topic_envelope
 from postlens.functions.text import joined_text, lenient_int, placeholder_to_null, swap_token, without_text
 from postlens.functions.values import band, coordinates, in_years, lenient_timestamp, year_of
-from postlens.operators.cleaning import clean_places, clean_posts, clean_users
+from postlens.operators.cleaning import clean_places, clean_posts, clean_users, with_column_if_absent
 from postlens.operators.joins import argmax_rows, join_places, join_users
 from postlens.operators.rollups import approx_median_by, counts_by, exact_median_by, top_many_per_group, top_n_per_group
 from postlens.operators.sampling import OrderIndex, build_index, row_at_offset, rows_at_offsets
@@ -485,6 +485,13 @@ def reorder_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renamed.select("c_name", "ind", F.col("c_acctbal").alias("balance"))
 
 
+def columns_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: a column that orders have stays as it is, one that they lack is added."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    kept = with_column_if_absent(orders, "o_custkey", F.lit(0).cast("long"))
+    return with_column_if_absent(kept, "is_large", F.col("o_totalprice") > 100_000)
+
+
 def row_at_one_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4, O2."""
     return row_at_offset(table(spark, sf_dir, "orders"), "o_orderkey", 7)
@@ -826,6 +833,10 @@ BINDINGS: dict[str, tuple[Query, str]] = {
         """SELECT o_orderkey, concat_ws(' ', CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END, o_orderpriority)
             AS user_name FROM orders""",
     ),
+    "columns_if_absent": (
+        columns_if_absent,
+        "SELECT o_orderkey, o_custkey, o_totalprice, o_totalprice > 100000 AS is_large FROM orders",
+    ),
     "reorder_columns": (
         reorder_columns,
         "SELECT c_name, c_custkey AS ind, c_acctbal + 1 AS balance FROM customer",
