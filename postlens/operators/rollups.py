@@ -17,6 +17,8 @@ PARTS = 65_536
 ROW_ACCURACY, ROW_SHARES = 10_000, (0.4997, 0.5003)
 FINE_ACCURACY, FINE_STEPS = 1_000, (128, 64, 32, 16, 8, 4, 2, 1)
 VALUE_ACCURACY, VALUE_SHARES, VALUE_ROUNDS = 1_000, tuple(i / 32 for i in range(1, 32)), 2
+# Of many groups, those with up to so many distinct values are ranked as they are; marks would weigh as much as the values.
+WHOLE_GROUP = 1_000
 
 
 def counts_by(df: DataFrame, keys: Sequence[str], counted: str, name: str) -> DataFrame:
@@ -115,7 +117,8 @@ def exact_median_by(
     median are ranked. For 32-bit integers that leaves at most ``PARTS`` values per group. For wider types the parts lie
     between marks placed by rank, however the values are spread, and what is ranked is one repeated value or at most 0.006
     of the group's distinct values (with ``rescan`` and no weight 0.0008 of its rows). The marks come from a sketch,
-    which only decides how much is left; the counts beside them are exact.
+    which only decides how much is left; the counts beside them are exact. Where groups may be many and nothing is
+    rescanned, those with up to ``WHOLE_GROUP`` distinct values are ranked without marks.
 
     ``few_groups`` says that the number of groups is bounded by the meaning of the keys (a band, a year), which allows
     broadcasting one row per group. With ``rescan``, each of the steps reads ``df`` again and combines on the
@@ -142,8 +145,10 @@ def exact_median_by(
         live = _between_marks(counted, keys, few_groups, ROW_SHARES, ROW_ACCURACY, rounds=1)
     elif few_groups:
         live = _between_fine_marks(counted, keys)
-    else:
+    elif rescan:
         live = _between_marks(counted, keys, few_groups, VALUE_SHARES, VALUE_ACCURACY, VALUE_ROUNDS)
+    else:
+        live = _whole_or_between_marks(counted, keys, HALF if weight else "(sum(_count) + 1) div 2")
     if rescan:
         live = live.groupBy(*keys, "_value").agg(F.sum("_count").alias("_count"), F.max("_nth").alias("_nth"))
     return _holding_nth(live, keys, "_value").select(*keys, F.col("_value").alias(name))
@@ -151,6 +156,8 @@ def exact_median_by(
 
 # The upper half of a 32-bit integer.
 UPPER_BITS = "shiftright(CAST(_value AS INT), 16)"
+# The lower median's place among a group's rows; 0 where no value is known.
+HALF = "ceil(CAST(sum(_count) AS DECIMAL(38, 0)) / 2)"
 # A value's place on the line of finite doubles; never falls as the value rises, which is all that is asked of it.
 PLACE = """CASE
     WHEN isnan(CAST(_value AS DOUBLE)) OR CAST(_value AS DOUBLE) = double('infinity') THEN 1.7976931348623157E308D
@@ -193,46 +200,57 @@ def _between_marks(
     shares: Sequence[float],
     accuracy: int,
     rounds: int,
-    nth: str = "ceil(CAST(sum(_count) AS DECIMAL(38, 0)) / 2)",
+    nth: str = HALF,
 ) -> DataFrame:
     """Counted values of the part, between marks at the given shares of the values' ranks, that holds the ``nth``.
 
     A part goes from above one mark up to the next. The counts up to each mark are summed for all marks at once, so a
-    round costs one row per task and group; it is repeated on what is left.
+    round costs one row per task and group; it is repeated on what is left. The marks are a key of the sums: carried by
+    ``first``, an array has every value sorted with its group's marks beside it, and computed anew they may differ. For the
+    latter reason a later round takes ``_nth`` from its rows, which the same marks left.
     """
-    placed = counted.withColumn("_at", F.expr(PLACE))
-    live, state = placed, None
-    for _ in range(rounds):
+    live = counted.withColumn("_at", F.expr(PLACE))
+    for i in range(rounds):
         found = [F.percentile_approx("_at", list(shares), accuracy).alias("_marks")]
-        if state is None:
-            found.append(F.expr(nth).alias("_nth"))
-        else:
-            found.append(F.max("_nth").alias("_nth"))
-        marks = live.groupBy(*keys).agg(*found)
-        seen = _told(live.drop("_nth"), marks, keys, few_groups)
-        upto = [F.expr(f"sum(CASE WHEN _at <= _marks[{i}] THEN _count ELSE 0 END)").alias(f"_upto{i}") for i in range(len(shares))]
-        sums = seen.groupBy(*keys).agg(*upto, F.first("_marks").alias("_marks"), F.first("_nth").alias("_nth"))
-        listed = f"array({', '.join(f'_upto{i}' for i in range(len(shares)))})"
-        parts = sums.selectExpr(*[f"`{k}`" for k in keys], "_marks", "_nth", f"{listed} AS _upto")
-        parts = parts.selectExpr("*", "size(filter(_upto, x -> x < _nth)) AS _part")
+        marks = live.groupBy(*keys).agg(*found, *([] if i else [F.expr(nth).alias("_nth")]))
+        seen = _told(live, marks, keys, few_groups)
+        upto = [F.expr(f"sum(CASE WHEN _at <= _marks[{j}] THEN _count ELSE 0 END)").alias(f"_upto{j}") for j in range(len(shares))]
+        sums = seen.groupBy(*keys, "_marks").agg(*upto, F.first("_nth").alias("_wanted"))
+        listed = f"array({', '.join(f'_upto{j}' for j in range(len(shares)))})"
+        parts = sums.selectExpr(*[f"`{k}`" for k in keys], "_marks", "_wanted", f"{listed} AS _upto")
+        parts = parts.selectExpr("*", "size(filter(_upto, x -> x < _wanted)) AS _part")
         state = parts.selectExpr(
             *[f"`{k}`" for k in keys],
             "get(_marks, _part - 1) AS _above",
             "get(_marks, _part) AS _last",
-            "_nth - coalesce(get(_upto, _part - 1), 0) AS _nth",
+            "_wanted",
+            "coalesce(get(_upto, _part - 1), 0) AS _passed",
         )
         within = "coalesce((_above IS NULL OR _at > _above) AND (_last IS NULL OR _at <= _last), false)"
-        live = _told(live.drop("_nth"), state, keys, few_groups, within).drop("_above", "_last")
+        inside = _told(live, state, keys, few_groups, within)
+        live = inside.withColumn("_nth", F.expr(f"{'_nth' if i else '_wanted'} - _passed")).drop("_above", "_last", "_wanted", "_passed")
     return live.select(*keys, "_value", "_count", "_nth")
 
 
+def _whole_or_between_marks(counted: DataFrame, keys: list[str], nth: str) -> DataFrame:
+    """All counted values of groups with up to ``WHOLE_GROUP`` of them; of larger ones what ``_between_marks`` leaves.
+
+    Both sides use every column of ``sizes``, so that it has one plan, too.
+    """
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_values"), F.expr(nth).alias("_nth"))
+    small = _told(counted, sizes, keys, False, f"_values <= {WHOLE_GROUP}")
+    large = _told(counted, sizes, keys, False, f"_values > {WHOLE_GROUP} AND _nth > 0").drop("_values", "_nth")
+    live = _between_marks(large, keys, False, VALUE_SHARES, VALUE_ACCURACY, VALUE_ROUNDS, nth)
+    return small.select(*keys, "_value", "_count", "_nth").unionAll(live)
+
+
 def _between_fine_marks(counted: DataFrame, keys: list[str]) -> DataFrame:
     """As ``_between_marks``, in one round of 255 marks for few groups: each value looks its part up by halves."""
     shares = [i / (2 * FINE_STEPS[0]) for i in range(1, 2 * FINE_STEPS[0])]
     placed = counted.withColumn("_at", F.expr(PLACE))
     marks = placed.groupBy(*keys).agg(
         F.percentile_approx("_at", shares, FINE_ACCURACY).alias("_marks"),
-        F.expr("ceil(CAST(sum(_count) AS DECIMAL(38, 0)) / 2)").alias("_nth"),
+        F.expr(HALF).alias("_nth"),
     )
     seen = _told(placed, marks, keys, few_groups=True).withColumn("_part", F.lit(0))
     for step in FINE_STEPS:

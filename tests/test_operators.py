@@ -1,6 +1,7 @@
 """Joins, rollups and sampling against plain Python on small and skewed data."""
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -71,6 +72,29 @@ def test_exact_median_of_special_numbers(spark, rescan):
     assert got == {"a": -inf, "c": 5e-324, "d": None, "e": 0.0}
 
 
+@pytest.mark.parametrize("whole", [1, 20, 1_000])
+def test_exact_median_of_groups_ranked_whole_and_by_marks(spark, monkeypatch, whole):
+    monkeypatch.setattr(rollups, "WHOLE_GROUP", whole)
+    rng = random.Random(whole)
+    rows = [(k, rng.choice([None, rng.random(), float(rng.randrange(9))]), rng.randrange(1, 4)) for k in range(60) for _ in range(1 + k % 40)]
+    rows += [(None, rng.random(), 1) for _ in range(3_000)] + [(-1, float(i % 1_100), 2) for i in range(4_000)] + [(-2, None, 1)] * 3
+    df = spark.createDataFrame(rows, "k int, v double, w bigint").repartition(5)
+    assert collected(rollups.exact_median_by(df, ["k"], "v", "m")) == medians([(k, v, 1) for k, v, _ in rows])
+    assert collected(rollups.exact_median_by(df, ["k"], "v", "m", "w")) == medians(rows)
+
+
+def test_small_groups_are_ranked_without_marks(spark):
+    """No sketch meets their values, and no step sorts values with their group's marks beside them."""
+    rows = spark.range(30_000).select((F.col("id") % 1_000).alias("k"), F.rand(3).alias("v"))
+    many = rollups.exact_median_by(rows, ["k"], "v", "m")
+    many.collect()
+    ran = many._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "percentile_approx" not in ran and "_marks" not in ran
+    counted = rows.selectExpr("k", "v AS _value", "1L AS _count")
+    live = rollups._between_marks(counted, ["k"], False, rollups.VALUE_SHARES, rollups.VALUE_ACCURACY, rollups.VALUE_ROUNDS)
+    assert "SortAggregate" not in live._jdf.queryExecution().executedPlan().toString()
+
+
 def test_exact_median_with_huge_weights(spark):
     heavy = spark.sql("SELECT * FROM VALUES ('a', 1, 4e27BD), ('a', 2, 4e27BD), ('a', 3, 1BD) AS t(k, v, w)")
     df = heavy.withColumn("w", F.col("w").cast("decimal(38,0)"))
