@@ -120,7 +120,7 @@ def odd_bits(shingles: np.ndarray) -> np.ndarray:
     """
     hashed = mixed(shingles + PLACE)
     times = np.bincount((hashed % np.uint64(64 * ODD_WORDS)).astype(np.int64), minlength=64 * ODD_WORDS)
-    return np.packbits((times & 1).astype(np.uint8), bitorder="little").view(np.int64)
+    return np.packbits((times & 1).astype(np.uint8), bitorder="little").view(np.uint64)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -286,7 +286,7 @@ def with_shared(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> tuple[
 
     def summed_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"num": batch["num"], "odd": [odd_bits(labelled_shingles(text)) for text in batch["text"]]})
+            yield pd.DataFrame({"num": batch["num"], "odd": [odd_bits(labelled_shingles(text)).view(np.int64) for text in batch["text"]]})
 
     owners = texts.mapInPandas(spread, "num long, shingle long").groupBy("shingle").agg(
         F.min("num").alias("low"), F.max("num").alias("high")
