@@ -198,17 +198,19 @@ def bucket_members(nodes: DataFrame) -> DataFrame:
     return settle(rows.join(shared, F.col("key") == F.col("its_key")).drop("its_key"), "members")
 
 
-def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``num`` and ``text`` of the wanted numbers, settled; each from the row with the text's least id."""
-    located = nodes.select("num", "node", _id_key("first_id").alias("id")).join(wanted, "num")
+def texts_of(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``num`` and ``text`` of the texts in a bucket, a row each, settled; each from a row with the text's least id.
+
+    The documents are gone through for this once; all later steps read texts from here.
+    """
+    located = nodes.select("num", "node", _id_key("first_id").alias("id")).join(members.select("num").distinct(), "num")
     texts = docs.select(F.md5(whole_text()).alias("node"), _id_key().alias("id"), whole_text().alias("text"))
-    return settle(texts.join(located, ["node", "id"]).select("num", "text"), "texts")
+    once = texts.join(located, ["node", "id"]).groupBy("node", "id", "num").agg(F.first("text").alias("text"))
+    return settle(once.select("num", "text"), "texts")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs of numbers ``a`` and ``b`` whose texts are similar, settled."""
-    wanted = pairs.select(F.col("a").alias("num")).union(pairs.select(F.col("b").alias("num"))).distinct()
-    texts = texts_of(wanted, nodes, docs)
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs of numbers ``a`` and ``b`` whose texts are similar, settled, with their labels ``low`` and ``high``."""
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[int, np.ndarray] = {}
@@ -223,12 +225,12 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = zip(batch["a"], batch["text_a"], batch["b"], batch["text_b"], strict=True)
             good = [similar(shingles(a, text_a), shingles(b, text_b)) for a, text_a, b, text_b in rows]
-            yield batch.loc[np.array(good, dtype=bool), ["a", "b"]]
+            yield batch.loc[np.array(good, dtype=bool), ["a", "b", "low", "high"]]
 
     first = texts.select(F.col("num").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("num").alias("b"), F.col("text").alias("text_b"))
-    held = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
-    return settle(held.mapInPandas(align, "a long, b long").distinct(), "links")
+    held = pairs.join(first, "a").join(second, "b").select("a", "b", "low", "high", "text_a", "text_b")
+    return settle(held.mapInPandas(align, "a long, b long, low long, high long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -251,6 +253,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def joined_classes(links: DataFrame) -> DataFrame:
+    """For each label that the links join to a lesser one: the label as ``num``, the least it is joined to as ``label``.
+
+    Links of earlier rounds are in the labels already, so a round only works on the links between classes that it found.
+    """
+    return components(links.select("low", "high").toDF("a", "b")).where(F.col("num") != F.col("label"))
+
+
+def relabelled(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """The rows with their ``label`` replaced by the one that it is joined to."""
+    new = joined.select(F.col("num").alias("its_label"), F.col("label").alias("new"))
+    now = rows.join(new, F.col("label") == F.col("its_label"), "left")
+    return now.withColumn("label", F.coalesce("new", "label")).drop("its_label", "new")
+
+
 def _lengths_fit(n: str, m: str) -> Column:
     return SIMILAR[1] * F.least(n, m) >= SIMILAR[0] * (F.col(n) + F.col(m))
 
@@ -259,25 +276,27 @@ def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
     return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
-def open_members(members: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
-    """The members, with new labels and degrees, of the buckets that more than one component still meets in."""
-    degree = links.select(F.explode(F.array("a", "b")).alias("its_num")).groupBy("its_num").agg(F.count("*").alias("new_degree"))
-    new = labels.select(F.col("num").alias("its_num"), F.col("label").alias("new")).join(degree, "its_num")
-    now = members.join(new, F.col("num") == F.col("its_num"), "left")
-    label, degree = F.coalesce("new", "num").alias("label"), F.coalesce("new_degree", F.lit(0)).alias("degree")
-    now = settle(now.select("key", "num", "shingles", "shared", label, degree), "labelled-members")
-    split = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+def with_degrees(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Adds the links that a text has to its ``degree``."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("its_num")).groupBy("its_num").agg(F.count("*").alias("links"))
+    now = members.join(degree, F.col("num") == F.col("its_num"), "left")
+    return now.withColumn("degree", F.col("degree") + F.coalesce("links", F.lit(0))).drop("its_num", "links")
+
+
+def open_members(members: DataFrame) -> DataFrame:
+    """The members of the buckets that more than one component still meets in, settled."""
+    split = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     split = split.where(F.col("low") < F.col("high")).select(F.col("key").alias("its_key"))
-    return settle(now.join(split, F.col("key") == F.col("its_key")).drop("its_key"), "open-members")
+    return settle(members.join(split, F.col("key") == F.col("its_key")).drop("its_key"), "open-members")
 
 
-def with_shared(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def with_shared(members: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sets ``shared``, a bound on how many shingles a text can align with any other open one: those not its own alone.
 
     A text changed in many places has many shingles that no other has. It can be ruled out by itself, without comparing
     it with the rest of its group. Also returns the ``odd_bits`` of the open texts by ``num``, settled.
     """
-    texts = texts_of(members.select("num").distinct(), nodes, docs)
+    texts = settle(texts.join(members.select("num").distinct(), "num"), "open-texts")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -300,7 +319,7 @@ def with_shared(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> tuple[
 
 
 def open_pairs(members: DataFrame, odd: DataFrame) -> DataFrame:
-    """Distinct pairs within a bucket and of different components that no bound rules out.
+    """Distinct pairs within a bucket and of different components that no bound rules out, with their labels.
 
     Similar texts differ in at most a ninth of the shingles of both: 9 (a + b - 2m) <= a + b. Their lengths, the shingles
     that only one text has, and the bits in which their sketches differ must allow that. The last bound is close for texts
@@ -316,7 +335,8 @@ def open_pairs(members: DataFrame, odd: DataFrame) -> DataFrame:
     both = F.col("n") + F.col("m")
     can = (SIMILAR[1] * F.least("n", "m", "s", "t") >= SIMILAR[0] * both) & (9 * F.greatest(differ, alone) <= both)
     apart = (F.col("a") < F.col("b")) & (F.col("l") != F.col("r")) & can
-    return left.join(right, (left["key"] == right["key"]) & apart).select("a", "b").distinct()
+    labels = [F.least("l", "r").alias("low"), F.greatest("l", "r").alias("high")]
+    return left.join(right, (left["key"] == right["key"]) & apart).select("a", "b", *labels).distinct()
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -330,7 +350,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = sketched(docs)
     nodes = distinct_nodes(rows)
     members = bucket_members(nodes)
-    links = tried = labels = odd = None
+    texts = texts_of(members, nodes, docs)
+    tried = labels = odd = None
     own = members.withColumns({"label": F.col("num"), "degree": F.lit(0).cast("long"), "shared": F.col("shingles").cast("long")})
     for turn in range(ROUNDS):
         # the leader of a bucket is its text with most links so far, the middle of a dense group; in the last rounds any
@@ -338,19 +359,22 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         order = F.struct(middle.alias("far"), F.xxhash64("num", F.lit(turn)).alias("any"), "num", "label", "shingles")
         led = own.join(own.groupBy("key").agg(F.min(order).alias("first")), "key")
         new = (F.col("label") != F.col("first.label")) & _lengths_fit("shingles", "first.shingles")
-        pairs = led.where(new).select(F.least("num", "first.num").alias("a"), F.greatest("num", "first.num").alias("b"))
+        both = lambda c: (F.least(c, f"first.{c}"), F.greatest(c, f"first.{c}"))
+        pairs = led.where(new).select(*both("num"), *both("label")).toDF("a", "b", "low", "high")
         pairs = settle(_untried(pairs.distinct(), tried), "pairs")
-        found = verified(pairs, nodes, docs)
-        links = found if links is None else links.union(found)
-        tried = pairs if tried is None else tried.union(pairs)
-        labels = components(links)
-        own = open_members(own, labels, links)
+        links = verified(pairs, texts)
+        tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
+        joined = joined_classes(links)
+        labels = joined if labels is None else relabelled(labels, joined).union(joined)
+        own = relabelled(own, joined)
+        own = open_members(with_degrees(own, links) if turn < CENTRAL_ROUNDS - 1 else own)
         if turn == CENTRAL_ROUNDS - 1:
-            own, odd = with_shared(own, nodes, docs)
+            own, odd = with_shared(own, texts)
     rest = settle(_untried(open_pairs(own, odd), tried), "pairs")
-    more = verified(rest, nodes, docs)
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    links = verified(rest, texts)
+    if not links.isEmpty():
+        joined = joined_classes(links)
+        labels = relabelled(labels, joined).union(joined)
     found = nodes.join(labels, "num", "left").select("node", F.coalesce("label", "num").alias("label"), "first_id", "copies")
     return rows, settle(found, "classes")
 

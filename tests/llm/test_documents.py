@@ -482,3 +482,40 @@ def test_two_dense_groups_that_resemble_each_other(spark):
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
     assert [got[i] for i in range(len(texts))] == label
     assert len(set(label)) > 2
+
+
+def test_rounds_go_on_from_the_classes_found(spark, monkeypatch):
+    """No round works again on links within a class, and the documents are gone through for their texts once."""
+    rng = random.Random(7)
+    words, texts = [f"w{i}" for i in range(120)], []
+    for i in range(60):  # a drift, in which texts that are far apart are not similar
+        words[i] = f"v{i}"
+        texts.append(" ".join(w if rng.random() < 0.99 else f"x{rng.randrange(10**6)}" for w in words))
+    texts += [texts[0], "", None]
+    rounds, written = [], []
+    solve, settle = near_dedup.components, near_dedup.settle
+
+    def watched(links):
+        rounds.append([(r.a, r.b) for r in links.select("a", "b").collect()])
+        return solve(links)
+
+    monkeypatch.setattr(near_dedup, "components", watched)
+    monkeypatch.setattr(near_dedup, "settle", lambda df, label: written.append(label) or settle(df, label))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    shingles = [near_dedup.labelled_shingles(t or "") for t in texts]
+    label = list(range(len(texts)))
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if (texts[a] or "") == (texts[b] or "") or near_dedup.similar(shingles[a], shingles[b])]
+    for _ in range(len(texts)):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert [got[i] for i in range(len(texts))] == label
+    found = {}
+    for pairs in rounds:
+        assert all(found.get(a, a) == a and found.get(b, b) == b and a != b for a, b in pairs)
+        for _ in range(len(texts)):
+            for a, b in pairs:
+                low = min(found.get(a, a), found.get(b, b))
+                found |= {a: low, b: low}
+    assert len(rounds[0]) > 0
+    assert written.count("texts") == 1
